@@ -5,17 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import langid, minhash, packing, resharding
 from ._util import table
 
 
+def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op5_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 12 shards to 16 of equal bytes."""
+    dealt = resharding.reshard(table(spark, sf_dir, "documents"), old_shards=12, new_shards=16)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+def op6_word_first_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"), train=~langid.held_out())
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_flow_resharding": op5_flow_resharding,
+    "op6_word_first_langid": op6_word_first_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -203,3 +203,48 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 * CHUNK) -> Iterato
         j = min(n, max(j, i + 1))
         yield batch.slice(i, j - i)
         i = j
+
+
+def gather_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, edges: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the given words one after another (between ``<`` and ``>`` with ``edges``), and their offsets."""
+    extra = 2 if edges else 0
+    size = ends - starts + extra
+    ptr = np.concatenate([[0], np.cumsum(size)])
+    word = np.repeat(np.arange(len(starts)), size)
+    at = np.arange(ptr[-1]) - ptr[:-1][word] - extra // 2
+    out = data[np.clip(starts[word] + at, 0, max(0, len(data) - 1))] if len(data) else np.zeros(0, np.uint8)
+    if edges:
+        out = out.copy()
+        out[ptr[:-1]] = 0x3C
+        out[ptr[1:] - 1] = 0x3E
+    return out, ptr
+
+
+def char_ngrams(data: np.ndarray, ptr: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, hash) of all n-grams of characters inside the words that ``ptr`` cuts out of ``data``.
+
+    Characters are those of UTF-8; A-Z count as a-z.
+    """
+    power, inverse = _powers(len(data) + 1)
+    run = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(byte_values()[data] * power[: len(data)], dtype=np.uint64, out=run[1:])
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    word = np.searchsorted(ptr, chars, "right") - 1
+    stops = np.append(chars, len(data))
+    last = len(chars) - n
+    if last < 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    first = np.arange(last + 1)
+    inside = stops[first + n] <= ptr[1:][word[first]]
+    first = first[inside]
+    a, b = chars[first], stops[first + n]
+    return word[first], mix64((run[b] - run[a]) * inverse[a] + np.uint64(n))
+
+
+def lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Index of each value in a sorted table, or -1."""
+    if not len(table):
+        return np.full(len(values), -1, np.int64)
+    at = np.searchsorted(table, values)
+    at[at == len(table)] = 0
+    return np.where(table[at] == values, at, -1)
