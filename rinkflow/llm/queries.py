@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, packing, resharding
+from . import langid, minhash, packing, resharding, toxicity
 from ._util import table
 
 
@@ -30,11 +30,17 @@ def op6_word_first_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_subword_bag_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_rows=~toxicity.held_out())
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_flow_resharding": op5_flow_resharding,
     "op6_word_first_langid": op6_word_first_langid,
+    "op7_subword_bag_toxicity": op7_subword_bag_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
