@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, packing, resharding, toxicity
+from . import decontamination, langid, minhash, packing, resharding, toxicity
 from ._util import table
 
 
@@ -19,6 +19,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_containment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items of the benchmark against all documents."""
+    return decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
 def op5_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 12 shards to 16 of equal bytes."""
     dealt = resharding.reshard(table(spark, sf_dir, "documents"), old_shards=12, new_shards=16)
@@ -38,6 +43,7 @@ def op7_subword_bag_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_containment_decontamination": op4_containment_decontamination,
     "op5_flow_resharding": op5_flow_resharding,
     "op6_word_first_langid": op6_word_first_langid,
     "op7_subword_bag_toxicity": op7_subword_bag_toxicity,

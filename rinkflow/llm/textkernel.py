@@ -75,6 +75,13 @@ def letter_words() -> np.ndarray:
     return lut
 
 
+def alnum_words() -> np.ndarray:
+    """Bytes of words of ASCII letters, digits and characters beyond ASCII."""
+    lut = letter_words()
+    lut[48:58] = True
+    return lut
+
+
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (int64, from 0) of a string column; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
