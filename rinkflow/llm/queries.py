@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, minhash, packing, resharding, toxicity
+from . import decontamination, langid, licenses, minhash, packing, resharding, toxicity
 from ._util import table
 
 
@@ -40,6 +40,10 @@ def op7_subword_bag_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_flow_resharding": op5_flow_resharding,
     "op6_word_first_langid": op6_word_first_langid,
     "op7_subword_bag_toxicity": op7_subword_bag_toxicity,
+    "op9_diagonal_license_scan": op9_diagonal_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
