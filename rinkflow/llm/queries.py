@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, minhash, packing, resharding, toxicity
-from ._util import table
+from . import decontamination, langid, licenses, lm, minhash, packing, resharding, toxicity
+from ._util import table, texts
 
 
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,12 @@ def op9_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, lm.train(texts(docs.where(~lm.held_out()))))
+    return scored.select("doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_word_first_langid": op6_word_first_langid,
     "op7_subword_bag_toxicity": op7_subword_bag_toxicity,
     "op9_diagonal_license_scan": op9_diagonal_license_scan,
+    "op10_log_frequency_bloom_lm": op10_log_frequency_bloom_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {}
