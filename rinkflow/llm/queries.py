@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, lm, minhash, packing, resharding, toxicity
+from . import decontamination, langid, licenses, lm, minhash, packing, pq, resharding, toxicity
 from ._util import table, texts
 
 
+def op1_pq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pq_embedding_dedup": op1_pq_embedding_dedup,
     "op2_harmonic_packing": op2_harmonic_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_containment_decontamination": op4_containment_decontamination,
