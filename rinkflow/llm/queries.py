@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, licenses, lm, minhash, packing, pq, resharding, toxicity
+from . import decontamination, langid, licenses, lm, minhash, packing, pq, resharding, substrings, toxicity
 from ._util import table, texts
 
 
@@ -44,6 +44,10 @@ def op7_subword_bag_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_chained_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.passages(table(spark, sf_dir, "documents"))
+
+
 def op9_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_flow_resharding": op5_flow_resharding,
     "op6_word_first_langid": op6_word_first_langid,
     "op7_subword_bag_toxicity": op7_subword_bag_toxicity,
+    "op8_chained_substring_dedup": op8_chained_substring_dedup,
     "op9_diagonal_license_scan": op9_diagonal_license_scan,
     "op10_log_frequency_bloom_lm": op10_log_frequency_bloom_lm,
 }
