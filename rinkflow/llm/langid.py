@@ -128,33 +128,58 @@ def _scores(model: dict, data: np.ndarray, w: tk.Words) -> np.ndarray:
     return out
 
 
-def _predictor(model):
+def _predict(m: dict, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Language and score of each text."""
+    cls = tk.letter_words()
+    ascii_letter = np.zeros(256, bool)
+    ascii_letter[65:91] = ascii_letter[97:123] = True
+    data, offsets = tk.string_buffers(texts)
+    w = tk.words_of(data, offsets, cls)
+    run = np.concatenate([[0], np.cumsum(ascii_letter[data])])
+    lettered = run[offsets[1:]] > run[offsets[:-1]]
+    for i in np.flatnonzero(~lettered & (np.diff(w.ptr) > 0)):
+        lettered[i] = any(x.isalpha() for x in texts[int(i)].as_py())
+    names, scores = np.full(len(lettered), "und", object), np.zeros(len(lettered))
+    if m["langs"] and lettered.any():
+        n = np.maximum(1, np.diff(w.ptr))[:, None]
+        z = _scores(m, data, w) / np.sqrt(n)
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        best = p.argmax(axis=1)
+        names[lettered] = np.array(m["langs"], object)[best[lettered]]
+        scores[lettered] = p[np.arange(len(best)), best][lettered]
+    return pa.array(names, pa.string()), pa.array(scores)
+
+
+def _predictor(model, text_at: int):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, cls = model.value, tk.letter_words()
-        ascii_letter = np.zeros(256, bool)
-        ascii_letter[65:91] = ascii_letter[97:123] = True
         for batch in batches:
             for part in tk.slices(batch, "text"):
-                data, offsets = tk.string_buffers(part.column(1))
-                w = tk.words_of(data, offsets, cls)
-                run = np.concatenate([[0], np.cumsum(ascii_letter[data])])
-                lettered = run[offsets[1:]] > run[offsets[:-1]]
-                for i in np.flatnonzero(~lettered & (np.diff(w.ptr) > 0)):
-                    lettered[i] = any(x.isalpha() for x in part.column(1)[int(i)].as_py())
-                names, scores = np.full(len(lettered), "und", object), np.zeros(len(lettered))
-                if m["langs"] and lettered.any():
-                    n = np.maximum(1, np.diff(w.ptr))[:, None]
-                    z = _scores(m, data, w) / np.sqrt(n)
-                    p = np.exp(z - z.max(axis=1, keepdims=True))
-                    p /= p.sum(axis=1, keepdims=True)
-                    best = p.argmax(axis=1)
-                    names[lettered] = np.array(m["langs"], object)[best[lettered]]
-                    scores[lettered] = p[np.arange(len(best)), best][lettered]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+                found = _predict(model.value, part.column(text_at))
+                yield pa.RecordBatch.from_arrays([part.column(0), *found], ["doc_id", "lang_pred", "score"])
 
     return predict
 
 
+def _fitted(docs: DataFrame, train: Column | None):
+    known = docs.where(train) if train is not None else docs
+    model = fit(known.where("text is not null and lang is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
+def spoken(docs: DataFrame, least: float, train: Column | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is found with a score of ``least`` at least."""
+    model, at = _fitted(docs, train), docs.columns.index("text")
+
+    def filter_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tk.slices(batch, "text"):
+                names, scores = _predict(model.value, part.column(at))
+                yield part.filter(pa.array((np.asarray(names) != "und") & (scores.to_numpy() >= least)))
+
+    return docs.mapInArrow(filter_, docs.schema)
+
+
 def identify(docs: DataFrame, train: Column | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs(doc_id, text, lang, ...)``.
 
@@ -166,11 +191,9 @@ def identify(docs: DataFrame, train: Column | None = None) -> DataFrame:
     Equally likely languages: the first by name.  Repeated rows and null ids
     get their rows.
     """
-    known = docs.where(train) if train is not None else docs
-    model = fit(known.where("text is not null and lang is not null").select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_predictor(shared), "doc_id long, lang_pred string, score double")
+    found = rows.mapInArrow(_predictor(_fitted(docs, train), 1), "doc_id long, lang_pred string, score double")
+    return found
 
 
 def held_out(column: str = "doc_id") -> Column:
