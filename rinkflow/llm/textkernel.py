@@ -3,7 +3,7 @@
 Every operator on words reads the UTF-8 bytes of a batch in place: no Python
 string is made for a word.  A word's 64-bit hash is a polynomial over random
 byte values, taken from a running sum, and then mixed; a shingle's hash mixes
-the hashes of its words in order.  Work goes in chunks of about a megabyte cut
+the hashes of its words in order.  Work goes in chunks of a quarter megabyte cut
 between words, so memory beside the result is bounded however long a text is.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _MULT = 0x9E3779B97F4A7C15 | 1
 _ROLL = 0xD6E8FEB86659FD93
 
