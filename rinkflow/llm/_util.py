@@ -82,5 +82,53 @@ def group_bounds(t: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(change), t.num_rows)
 
 
+#: Bits of a filter of ids at most, and bits and probes for each id below that.
+FILTER_BITS, ID_BITS, ID_PROBES = 1 << 27, 16, 3
+
+
+def _id_places(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    h = (ids.astype(np.int64).view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for _ in range(ID_PROBES):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        yield (h >> np.uint64(20)) % np.uint64(bits)
+
+
+def id_filter(ids: DataFrame):
+    """A broadcast Bloom filter of a table with one column of ids.
+
+    Its size has the bound ``FILTER_BITS``: beyond that more ids pass that
+    aren't in the table, which costs time but changes no result of a join.
+    """
+    n = ids.count()
+    bits = int(min(FILTER_BITS, max(1 << 16, 1 << (ID_BITS * max(1, n) - 1).bit_length())))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(list(_id_places(batch.column(0).to_numpy(zero_copy_only=False), bits)))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "mask"])
+
+    got = ids.mapInArrow(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table_ = np.zeros(bits // 64, np.uint64)
+    table_[got.column(0).to_numpy()] = got.column(1).to_numpy().view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(table_)
+
+
+def may_hold(shared, df: DataFrame, column: str, keep: bool = True) -> DataFrame:
+    """Rows of ``df`` whose id the filter may hold; with ``keep`` false, all the others (null ids too)."""
+    at, schema = df.columns.index(column), df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            ids = batch.column(at)
+            there = ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False), bool)
+            values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            for place in _id_places(values, len(held) * 64):
+                there &= (held[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield batch.filter(pa.array(there if keep else ~there))
+
+    return df.mapInArrow(run, schema)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
