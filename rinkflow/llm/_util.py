@@ -26,6 +26,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def own_shuffle(small: DataFrame, *keys: str) -> DataFrame:
+    """The same rows of a table grouped by integer ``keys``, whose partitioning is no longer known to the plan.
+
+    A join with the rows that were grouped would else reuse the grouping's
+    shuffle, and such a join can't be split.  This way both sides are shuffled
+    for the join, and AQE splits a hot key's rows over several tasks.
+    """
+    return small.withColumns({k: F.shiftleft(k, 0) for k in keys})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

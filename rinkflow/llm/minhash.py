@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from ._util import cut, group_bounds, partitions, texts, whole_groups
+from ._util import cut, group_bounds, own_shuffle, partitions, texts, whole_groups
 from .graph import connected_components
 
 #: At a similarity of 0.85 a pair shares no band with a probability of 7e-7.
@@ -228,14 +228,14 @@ count as one document that has the links of all of them.  Rows with a null id
     signed = cut(signatures(docs))
     some = signed.where("doc_id is not null and n_shingles > 0")
     reps = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    rep_rows = some.join(reps, ["d1", "d2"]).where("doc_id = rep").select("rep", "n_shingles", "bands")
+    rep_rows = some.join(own_shuffle(reps, "d1", "d2"), ["d1", "d2"]).where("doc_id = rep").select("rep", "n_shingles", "bands")
     keyed = rep_rows.select("rep", F.explode("bands").alias("key"))
     leads = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
-    candidates = keyed.join(leads, "key").where("rep <> lead").select(F.col("rep").alias("src"), F.col("lead").alias("dst"))
+    candidates = keyed.join(own_shuffle(leads, "key"), "key").where("rep <> lead").select(F.col("rep").alias("src"), F.col("lead").alias("dst"))
     clusters = connected_components(candidates).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
     sizes = some.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n_shingles").alias("n_shingles"))
     blocks = clusters.join(sizes, "rep").groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
-    member = clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    member = clusters.join(own_shuffle(blocks, "cluster"), "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     member = member.select("cluster", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "rep")
     rows = member.join(texts(docs).withColumnRenamed("doc_id", "rep"), "rep")
