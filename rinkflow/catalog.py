@@ -7,6 +7,7 @@ says the operator anew.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -456,7 +457,7 @@ def html_link_counts(v):
     return p.select("page_id").join(n, "page_id", "left").select("page_id", F.coalesce("n", F.lit(0)).alias("n_links"))
 
 
-@query("""select page_id, cast(i - 1 as integer) as pos, hrefs[i] as href, case when regexp_matches(hrefs[i], '^https?://') then hrefs[i] else concat('https://www.worldcurling.org', hrefs[i]) end as url
+@query("""select page_id, cast(i - 1 as integer) as pos, hrefs[i] as href, case when regexp_matches(hrefs[i], '^https?://') then hrefs[i] else concat('https://curlit.com/', hrefs[i]) end as url
 from (select page_id, hrefs, unnest(range(1, len(hrefs) + 1)) as i from (select page_id, regexp_extract_all(html, '<a [^>]*?href="([^"]*)"', 1) as hrefs from pages))""")
 def html_links(v):
     return page_source.links(v.spark.read.parquet(f"{v.sf_dir}/pages.parquet")).select("page_id", "pos", "href", "url")
@@ -737,7 +738,7 @@ def _board_rows(v: Views) -> DataFrame:
 @query(f"select {KEYS}, team, slot, x, y, stone_id, prev_x, prev_y from tracked", TRACKED_SQL)
 def stream_tracker(v):
     """The tracker as a stream of files, run until all are read."""
-    base = tempfile.mkdtemp(prefix="rinkflow-stream-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/stream-{id(v)}"
+    base = tempfile.mkdtemp(prefix="rinkflow-stream-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/stream-{uuid.uuid4().hex}"
     rows = _board_rows(v)
     rows.repartition(4, *END).write.parquet(f"{base}/in")
     stream = v.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
@@ -749,7 +750,7 @@ def stream_tracker(v):
 @query("select event_id, count(*) as n_shots from v_shots group by all")
 def incremental_ingest(v):
     """Shots written as files and taken in by a resumable stream."""
-    base = tempfile.mkdtemp(prefix="rinkflow-ingest-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/ingest-{id(v)}"
+    base = tempfile.mkdtemp(prefix="rinkflow-ingest-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/ingest-{uuid.uuid4().hex}"
     rows = v.shots.select(*SHOT, "team_code", "shot_type")
     rows.repartition(6).write.parquet(f"{base}/in")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)

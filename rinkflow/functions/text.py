@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BASE_URL = "https://www.worldcurling.org"
+#: Site that relative links belong to (fixed value).
+BASE_URL = "https://curlit.com/"
 
 END_LINE = (
     r"(?U)End\s+(\d+)\s+"
