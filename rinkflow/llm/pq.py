@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut, group_bounds, partitions, whole_groups
+from ._util import cut, group_bounds, own_shuffle, partitions, whole_groups
 from .graph import connected_components
 
 #: Vectors that the quantisers are fitted on at most, and rounds of fitting.
@@ -51,7 +51,8 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 def fit(sample: np.ndarray, rows: int, seed: int = 3) -> dict:
     """Coarse centres and residual codebooks from a sample of unit vectors, for so many rows."""
     rng = np.random.default_rng(seed)
-    lists = int(np.clip(2 * np.sqrt(rows), 1, min(LISTS, max(1, len(sample) // 4))))
+    # few, large lists: a query is sent to each list that it probes, and blocks of members are cheap to compare
+    lists = int(np.clip(np.sqrt(rows) / 8, 1, min(LISTS, max(1, len(sample) // 4))))
     coarse = kmeans(sample, lists, rng)
     at, _ = _nearest(sample, coarse)
     rest = sample - coarse[at]
@@ -73,52 +74,36 @@ def _vectors(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
 
-PROBED = "label int, list int, width int, rep long, weight long, home boolean, v array<double>"
+PROBED = "label int, list int, width int, rep long, home boolean, far double"
 
 
-def _prober(shared, reach: float, radius):
-    """A row for the vector's own list and one for each list to probe."""
+def _prober(shared, reach: float):
+    """The vector's own list, and each list on whose side of the bisecting plane a neighbour may lie; no vectors."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, radii = shared.value, radius.value
+        models = shared.value
         for batch in batches:
             widths = batch.column(2).to_numpy()
             for width in np.unique(widths):
                 part = batch.filter(pa.array(widths == width))
-                m, x = models[int(width)], _vectors(part.column("v"), int(width))
-                c = m["coarse"]
-                own, d2 = _nearest(x, c)
-                between = np.sqrt(np.maximum(1e-30, ((c[:, None] - c[None]) ** 2).sum(2))) if len(c) <= 128 else np.sqrt(np.maximum(1e-30, _nearest(c, c)[1]))
-                beyond = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * between[own])
-                near = (beyond <= reach + EPS) & (np.sqrt(d2) <= radii[int(width)][None] + reach + EPS)
-                near[np.arange(len(x)), own] = True
+                c = models[int(width)]["coarse"]
+                own, d2 = _nearest(_vectors(part.column(3), int(width)), c)
+                between = np.sqrt(np.maximum(1e-30, _nearest(c, c)[1]))
+                at = np.arange(len(own))
+                near = (d2 - d2[at, own][:, None]) / (2 * between[own]) <= reach + EPS
+                near[at, own] = True
                 row, lst = np.nonzero(near)
                 keep = lst >= own[row]  # a pair is found from the side whose own list comes first
                 row, lst = row[keep], lst[keep]
                 took = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [took.column("label"), pa.array(lst.astype(np.int32)), took.column("width"), took.column("rep"), took.column("weight"), pa.array(lst == own[row]), took.column("v")],
+                    [took.column(0), pa.array(lst.astype(np.int32)), took.column(2), took.column(1), pa.array(lst == own[row]), pa.array(np.sqrt(d2[row, lst]))],
                     [x.split()[0] for x in PROBED.split(", ")],
                 )
 
     return probe
 
 
-def _radii(shared):
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            widths = batch.column(0).to_numpy()
-            for width in np.unique(widths):
-                part = batch.filter(pa.array(widths == width))
-                at, d2 = _nearest(_vectors(part.column(1), int(width)), shared.value[int(width)]["coarse"])
-                r = np.zeros(int(at.max()) + 1)
-                np.maximum.at(r, at, np.sqrt(d2[np.arange(len(at)), at]))
-                hit = np.unique(at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), width, np.int32)), pa.array(hit.astype(np.int32)), pa.array(r[hit])], ["width", "list", "radius"])
-
-    return measure
-
-
 def _min_labels(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest label reachable through a bipartite table of links."""
     big = np.iinfo(np.int64).max
@@ -220,19 +205,17 @@ def _links(unit: DataFrame, threshold: float) -> DataFrame:
         x = _vectors(sample.column(0).combine_chunks(), width) if sample.num_rows else np.eye(1, width)
         models[width] = fit(x, n)
     shared = spark.sparkContext.broadcast(models)
-    measured = unit.select("width", "v").mapInArrow(_radii(shared), "width int, list int, radius double").groupBy("width", "list").agg(F.max("radius").alias("r")).collect()  # a row for each list
-    radii = {w: np.full(len(m["coarse"]), -np.inf) for w, m in models.items()}
-    for r in measured:
-        radii[r.width][r.list] = r.r
-    probed = unit.select("label", "rep", "width", "weight", "v").mapInArrow(_prober(shared, reach, spark.sparkContext.broadcast(radii)), PROBED)
-    probed = cut(probed)
+    probes = cut(unit.select("label", "rep", "width", "v").mapInArrow(_prober(shared, reach), PROBED))
     cell = ["label", "list", "width"]
-    size = probed.groupBy(*cell).agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("mbs"), F.ceil(F.count("*") / BLOCK).cast("int").alias("qbs")).where("mbs > 0")
-    sized = probed.join(size, cell)
+    # a list's ball is that of its members of the label; lists without any aren't probed
+    balls = probes.where("home").groupBy(*cell).agg(F.max("far").alias("ball"), F.ceil(F.count("*") / BLOCK).cast("int").alias("mbs"))
+    probes = probes.join(own_shuffle(balls, *cell), cell).where(F.col("home") | (F.col("far") <= F.col("ball") + reach + EPS))
+    asking = probes.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("qbs"))
+    sized = probes.join(own_shuffle(asking, *cell), cell)
     block = F.xxhash64("rep")
     members = sized.where("home").withColumn("mb", F.pmod(block, "mbs").cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qbs") - 1)))
     queries = sized.withColumn("qb", F.pmod(block, "qbs").cast("int")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)))
-    columns = [*cell, "qb", "mb", "rep", "weight", "home", "v"]
-    both = queries.select(*columns, F.lit(0).alias("role")).unionByName(members.select(*columns, F.lit(1).alias("role")))
     keys = [*cell, "qb", "mb"]
-    return cut(both.repartition(partitions(unit), *keys).sortWithinPartitions(*keys).mapInArrow(_matcher(shared, threshold, reach), schema))
+    both = queries.select(*keys, "rep", "home", F.lit(0).alias("role")).unionByName(members.select(*keys, "rep", "home", F.lit(1).alias("role")))
+    rows = both.join(unit.select("label", "width", "rep", "weight", "v"), ["label", "width", "rep"])
+    return cut(rows.repartition(partitions(unit), *keys).sortWithinPartitions(*keys).mapInArrow(_matcher(shared, threshold, reach), schema))
