@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import END, SHOT
+from .constants import END, SHOT, VERDICTS
 from .functions import geometry, text
 from .operators import detection, dims, features, graph, learning, metrics, reshape, tracking
 from .plans.adapters import oracle, view
@@ -307,23 +307,36 @@ for _name, _metric in METRICS.items():
     query(METRIC_SQL[_name].replace("{t}", "v_known"), name=f"{_name}_known")(lambda v, m=_metric: m(v.known, v.boards))
 
 
-@query(f"""
+_COUNT_SQL = f"""
 select count(*) as total_shot_pairs, count(*) filter (where jump) as inconsistent_pairs, count(distinct case when jump then concat(event_id, '/', match_id, '/', end_number) end) as inconsistent_ends, 1 - cast(count(*) filter (where jump) as double) / count(*) as stone_count_consistency_rate
 from (select *, abs(n1 - lag(n1) over w) > 1 or abs(n2 - lag(n2) over w) > 1 as jump, lag(shot_number) over w as before
       from (select b.{KEYS.replace(', ', ', b.')}, count(*) filter (where s.team = 1) as n1, count(*) filter (where s.team = 2) as n2 from v_boards b left join v_stones s using ({KEYS}) group by all)
-      window w as (partition by event_id, match_id, end_number order by shot_number)) where before is not null""")
+      window w as (partition by event_id, match_id, end_number order by shot_number)) where before is not null"""
+
+
+@query(_COUNT_SQL)
 def count_consistency(v):
     return metrics.count_consistency(_stones(v), v.boards)
 
 
-@query()
+_PARTS = ["tracking_metrics", "displacement_distribution", "id_continuity", "slot_swaps", "cap_pressure", "displacement_symmetry", "delivery_anomaly"]
+_ALL = ", ".join(f"(select {'* exclude (total_shot_pairs)' if n == 'slot_swaps' else '*'} from ({METRIC_SQL[n].replace('{t}', 'flagged')}))" for n in _PARTS)
+_ALL = f"(select * from {_ALL}, ({_COUNT_SQL}))"
+
+
+@query(f"select * from {_ALL}", TRACKED_SQL)
 def all_metrics(v):
-    return metrics.all_metrics(_tracked(v), v.boards)
+    return _round(metrics.all_metrics(_tracked(v), v.boards))
 
 
-@query()
+_SIGN = {"max": "<=", "min": ">=", "below": "<"}
+
+
+@query(f"with a as materialized {_ALL} " + " union all ".join(
+    f"select '{n}' as metric, cast({n} as double) as value, {float(limit)}::double as threshold, case when {n} is null then '-' when {n} {_SIGN[kind]} {float(limit)} then 'OK' else 'WARN' end as verdict from a"
+    for n, kind, limit in VERDICTS), TRACKED_SQL)
 def metric_verdicts(v):
-    return metrics.verdicts(metrics.all_metrics(_tracked(v), v.boards))
+    return metrics.verdicts(_round(metrics.all_metrics(_tracked(v), v.boards)))
 
 
 @query(f"""
