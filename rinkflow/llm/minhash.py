@@ -28,7 +28,7 @@ WORDS = 5
 #: Estimates this far (in standard deviations of the estimator) under the threshold are not compared.
 SLACK = 6.0
 #: Shingles in a block of a cluster; larger clusters are compared by pairs of blocks, each in its own task.
-BLOCK = 1_000_000
+BLOCK = 1 << 17
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 
