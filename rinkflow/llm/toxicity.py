@@ -95,7 +95,7 @@ def embed(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict:
     if len(labels) == 0 or labels.all() or not labels.any():
         return empty
     data, offsets = tk.string_buffers(pa.array(texts, pa.large_string()))
-    w = tk.words_of(data, offsets, tk.letter_words())
+    w = tk.words_of(data, offsets, tk.alnum_words())
     if not len(w.hashes):
         return empty
     _, first, at = np.unique(w.hashes, return_index=True, return_inverse=True)
@@ -146,7 +146,7 @@ def embed(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict:
 def text_logits(model: dict, texts: pa.Array) -> np.ndarray:
     """Largest logit of each text's windows; the bias for a text without words."""
     data, offsets = tk.string_buffers(texts)
-    w = tk.words_of(data, offsets, tk.letter_words())
+    w = tk.words_of(data, offsets, tk.alnum_words())
     _, first, at = np.unique(w.hashes, return_index=True, return_inverse=True)
     by_word = np.empty(len(first))
     order = np.argsort(w.starts[first], kind="stable")
