@@ -371,6 +371,15 @@ def test_passages_are_found_and_clean_texts_left(spark, corpus):
     assert substrings.passages(docs.limit(0)).count() == 0
 
 
+def test_passages_of_common_lines(spark):
+    """A passage of lines that each stood alone in earlier documents, or whose pairs did, is found."""
+    a, b, c = (prose(n, 7100 + n) for n in (29, 20, 31))
+    rows = [(1, f"{prose(60, 1)} {a} {b} {prose(60, 2)}"), (2, f"{prose(60, 3)} {b} {c} {prose(60, 4)}"), (3, f"{prose(60, 5)} {c} {prose(60, 6)}"), (4, f"{prose(60, 7)} {a} {prose(60, 8)}")]
+    rows += [(10, f"{prose(60, 9)} {a} {b} {c} {prose(60, 10)}"), (20, f"{prose(60, 11)} {a} {b} {c} {prose(60, 12)}")]
+    got = {(r.doc_id, r.src_doc_id) for r in substrings.passages(frame(spark, [(i, t, None, None, None) for i, t in rows])).where("end_word - start_word >= 80 and identity = 1").collect()}
+    assert (20, 10) in got
+
+
 # 9
 
 
