@@ -380,6 +380,28 @@ def test_passages_of_common_lines(spark):
     assert (20, 10) in got
 
 
+def test_edited_passages_are_found(spark):
+    """Substitutions at every kth word, and at random, of one source; at most 0.2 of the words."""
+    rows, want = [], set()
+    r = random.Random(12)
+    for i in range(120):
+        n = (50, 100)[i % 2]
+        own = [f"p{i}x{r.randrange(10**6)}" for _ in range(n)]
+        new = list(own)
+        step = (5, 6, 8, 10)[i % 4]
+        for j in (range(step // 2, n, step) if i < 60 else r.sample(range(n), n // step)):
+            new[j] = f"e{i}x{j}"
+        pad = [" ".join(f"q{i}x{k}x{j}" for j in range(60)) for k in range(4)]
+        rows += [(i, f"{pad[0]} {' '.join(own)} {pad[1]}", None, None, None), (1000 + i, f"{pad[2]} {' '.join(new)} {pad[3]}", None, None, None)]
+        w = np.array(own) == np.array(new)
+        ends = np.flatnonzero(w)
+        # the part between the outer equal words counts
+        if ends[-1] - ends[0] + 1 >= 50 and w.sum() >= 0.8 * (ends[-1] - ends[0] + 1):
+            want.add(1000 + i)
+    got = {x.doc_id for x in substrings.passages(frame(spark, rows)).collect()}
+    assert len(want) > 60 and len(want - got) == 0
+
+
 # 9
 
 
