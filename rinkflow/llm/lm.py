@@ -4,8 +4,9 @@ Unigrams and bigrams of the whole training corpus are counted by a shuffle.
 The filter holds a count's quantised level as that many entries: a key of level
 q is inserted with the numbers 1 to q, and a reader probes 1, 2, ... until one
 is absent, so a false positive can only raise a count by a level or so.  The
-filter's size is bounded; if the corpus outgrows it, the lowest levels are left
-out, bigrams first, so that its error rate stays.
+filter grows with the corpus, so that its error rate stays.  It is broadcast up
+to a bound; a larger one stays in segments by bucket of keys, to which the
+probes are sent by a shuffle.
 
 Probabilities are bigram counts smoothed towards the unigram distribution
 (Dirichlet prior).  Numerators take the low end of a level and denominators
@@ -19,13 +20,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from ._util import cut, group_bounds, id_remainder, partitions, texts, whole_groups
 
-#: Bits of the filter at most, bits for each entry, and probes for each entry.
+#: Bits of a filter that is broadcast at most, bits for each entry, and probes for each entry.
 MAX_BITS, ENTRY_BITS, PROBES = 1 << 28, 10, 5
 #: Weight of the unigram distribution in a context.
 PRIOR = 8.0
@@ -33,6 +35,8 @@ PRIOR = 8.0
 FREQUENT = 1 << 20
 #: Tokens that a task counts before it sends the counts on.
 BUFFER = 1 << 21
+#: Bytes of texts whose probes are sent to the segments together.
+PROBE_BYTES = 8 << 20
 UNIGRAM, BIGRAM = 0, 1
 #: The token that ends each text.
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
@@ -162,7 +166,7 @@ def _bits(keys: np.ndarray, kind: int, level: int, seg_bits: int) -> Iterator[np
         yield ((a + np.uint64(i) * step) % np.uint64(seg_bits)).astype(np.int64)
 
 
-def _filler(seg_bits: int, least: tuple[int, int]):
+def _filler(seg_bits: int):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["bucket"]):
             bounds = group_bounds(t, ["bucket"])
@@ -170,7 +174,7 @@ def _filler(seg_bits: int, least: tuple[int, int]):
                 seg = np.zeros(seg_bits, bool)
                 for r in t.slice(i, j - i).to_pylist():
                     k, level = _decode(r["keys"]), level_of(_counts_of(r["counts"]))
-                    for q in range(least[r["kind"]], int(level.max()) + 1):
+                    for q in range(1, int(level.max()) + 1):
                         for at in _bits(k[level >= q], r["kind"], q, seg_bits):
                             seg[at] = True
                 yield pa.RecordBatch.from_arrays([pa.array([t.column("bucket")[i].as_py()], pa.int32()), pa.array([np.packbits(seg, bitorder="little").tobytes()], pa.binary())], ["bucket", "segment"])
@@ -178,14 +182,14 @@ def _filler(seg_bits: int, least: tuple[int, int]):
     return fill
 
 
-def probe_levels(model: dict, keys: np.ndarray, kind: int) -> np.ndarray:
-    """Level of each key by repeated probes; 0 if its first entry is absent."""
+def probe_levels(model: dict, keys: np.ndarray, kind: int, first: int = 0) -> np.ndarray:
+    """Level of each key by repeated probes; 0 if its first entry is absent.  The filter begins with segment ``first``."""
     out = np.zeros(len(keys), np.int64)
     if not model["seg_bits"]:
         return out
-    q = model["least"][kind]
+    q = 1
     live = np.arange(len(keys))
-    base = (keys >> np.uint64(64 - model["bits"])).astype(np.int64) * model["seg_bits"]
+    base = ((keys >> np.uint64(64 - model["bits"])).astype(np.int64) - first) * model["seg_bits"]
     filter_ = model["filter"]
     while len(live) and q <= len(LEVELS):
         there = np.ones(len(live), bool)
@@ -208,6 +212,7 @@ def train(docs: DataFrame) -> dict:
 
     ``unigrams`` is a table (h, c) of exact counts; the arrays that are
     broadcast have proven bounds: ``MAX_BITS`` bits and ``FREQUENT`` counts.
+    ``segments`` is a table (bucket, segment) of a filter beyond that bound.
     """
     spark = docs.sparkSession
     width = partitions(docs)
@@ -219,19 +224,18 @@ def train(docs: DataFrame) -> dict:
     tokens = sum(r.total for r in hist if r.kind == UNIGRAM)
     distinct = sum(r.n for r in hist if r.kind == UNIGRAM)
 
-    def entries(least: tuple[int, int]) -> int:
-        return sum(n * max(0, level - least[kind] + 1) for (kind, level), n in number.items())
-
-    least = (1, 1)
-    while entries(least) * ENTRY_BITS > MAX_BITS and max(least) < len(LEVELS):
-        least = (least[0], least[1] + 1) if least[1] <= 2 * least[0] else (least[0] + 1, least[1])
-    seg_bits = min(MAX_BITS, entries(least) * ENTRY_BITS) >> bits
-    seg_bits = max(64, seg_bits // 64 * 64 + 64) if entries(least) else 0
-    filter_ = np.zeros((seg_bits << bits) // 8, np.uint8)
+    entries = sum(n * level for (_, level), n in number.items())
+    seg_bits = max(64, (entries * ENTRY_BITS >> bits) // 64 * 64 + 64) if entries else 0
+    filter_, segments = np.zeros(0, np.uint8), None
     if seg_bits:
-        segments = merged.select("kind", "bucket", "keys", "counts").repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_filler(seg_bits, least), "bucket int, segment binary").toArrow()
-        for b, seg in zip(segments.column(0).to_pylist(), segments.column(1).to_pylist(), strict=True):
-            filter_[b * seg_bits // 8 : (b + 1) * seg_bits // 8] = np.frombuffer(seg, np.uint8)
+        segments = merged.select("kind", "bucket", "keys", "counts").repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_filler(seg_bits), "bucket int, segment binary")
+        if entries * ENTRY_BITS > MAX_BITS:
+            segments = cut(segments)
+        else:
+            filter_ = np.zeros((seg_bits << bits) // 8, np.uint8)
+            got, segments = segments.toArrow(), None
+            for b, seg in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+                filter_[b * seg_bits // 8 : (b + 1) * seg_bits // 8] = np.frombuffer(seg, np.uint8)
     at, room = len(LEVELS), FREQUENT
     while at > 0 and number.get((UNIGRAM, at), 0) <= room:
         room -= number.get((UNIGRAM, at), 0)
@@ -240,44 +244,151 @@ def train(docs: DataFrame) -> dict:
     top = unigrams.mapInArrow(_unigram_rows(int(LEVELS[at]) if at < len(LEVELS) else 1 << 62), "h long, c long").toArrow()
     h, c = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
     order = np.argsort(h)
-    arrays = {"bits": bits, "seg_bits": seg_bits, "least": least, "filter": filter_, "keys": h[order], "counts": c[order], "tokens": tokens, "distinct": distinct}
-    return {"arrays": spark.sparkContext.broadcast(arrays), "tokens": tokens, "distinct": distinct, "unigrams": unigrams.mapInArrow(_unigram_rows(0), "h long, c long")}
+    arrays = {"bits": bits, "seg_bits": seg_bits, "filter": filter_, "keys": h[order], "counts": c[order], "tokens": tokens, "distinct": distinct}
+    return {"arrays": spark.sparkContext.broadcast(arrays), "segments": segments, "tokens": tokens, "distinct": distinct, "unigrams": unigrams.mapInArrow(_unigram_rows(0), "h long, c long")}
+
+
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>"
+
+
+def _scores(m: dict, ids: pa.Array, t: np.ndarray, ptr: np.ndarray, levels) -> pa.RecordBatch:
+    """Scores of texts of tokens ``t``; ``levels`` gives those of distinct keys of a kind."""
+    total = m["tokens"] + m["distinct"] + 1
+    top = np.append(LEVELS[1:], LEVELS[-1] * 2) - 1
+    uniq, at = np.unique(t, return_inverse=True)
+    known = tk.lookup(m["keys"], uniq)
+    count = np.where(known >= 0, m["counts"][known] if len(m["counts"]) else 0, -1)[at]
+    level = levels(uniq, UNIGRAM)
+    low = np.where(level > 0, LEVELS[level - 1], 0)
+    high = np.where(level > 0, top[level - 1], 0)
+    p1 = ((low + 1) / total)[at]
+    context = np.empty(len(t), np.int64)
+    context[1:] = high[at[:-1]]
+    context[ptr[:-1]] = high[at[ptr[1:] - 1]]  # the end stands before the first token
+    pairs, pair_at = np.unique(_pair_keys(t, ptr), return_inverse=True)
+    pair = levels(pairs, BIGRAM)[pair_at]
+    joint = np.minimum(np.where(pair > 0, LEVELS[pair - 1], 0), context)
+    logs = np.log10((joint + PRIOR * p1) / (context + PRIOR))
+    sure = count >= 0
+    base = np.where(sure, np.log10((np.maximum(count, 0) + 1) / total), 0.0)
+    heads = ptr[:-1]
+    rare = np.flatnonzero(~sure)
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, ptr).astype(np.int32)), pa.array(t[rare].view(np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(np.diff(ptr)), pa.array(np.add.reduceat(sure, heads).astype(np.int64)), pa.array(np.add.reduceat(base, heads)), pa.array(np.add.reduceat(logs, heads)), lists],
+        ["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
+    )
+
+
+def _pair_keys(t: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    return _bigrams(t, ptr) >> np.uint64(16) << np.uint64(16)
 
 
 def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        total = m["tokens"] + m["distinct"] + 1
-        top = np.append(LEVELS[1:], LEVELS[-1] * 2) - 1
         for batch in batches:
             for part in tk.slices(batch, "text"):
-                t, ptr = _tokens(part.column(1))
-                uniq, at = np.unique(t, return_inverse=True)
-                known = tk.lookup(m["keys"], uniq)
-                count = np.where(known >= 0, m["counts"][known] if len(m["counts"]) else 0, -1)[at]
-                level = probe_levels(m, uniq, UNIGRAM)
-                low = np.where(level > 0, LEVELS[level - 1], 0)
-                high = np.where(level > 0, top[level - 1], 0)
-                p1 = ((low + 1) / total)[at]
-                context = np.empty(len(t), np.int64)
-                context[1:] = high[at[:-1]]
-                context[ptr[:-1]] = high[at[ptr[1:] - 1]]  # the end stands before the first token
-                pair = probe_levels(m, _bigrams(t, ptr) >> np.uint64(16) << np.uint64(16), BIGRAM)
-                joint = np.minimum(np.where(pair > 0, LEVELS[pair - 1], 0), context)
-                logs = np.log10((joint + PRIOR * p1) / (context + PRIOR))
-                sure = count >= 0
-                base = np.where(sure, np.log10((np.maximum(count, 0) + 1) / total), 0.0)
-                heads = ptr[:-1]
-                rare = np.flatnonzero(~sure)
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, ptr).astype(np.int32)), pa.array(t[rare].view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(ptr)), pa.array(np.add.reduceat(sure, heads).astype(np.int64)), pa.array(np.add.reduceat(base, heads)), pa.array(np.add.reduceat(logs, heads)), lists],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
-                )
+                yield _scores(m, part.column(0), *_tokens(part.column(1)), lambda keys, kind: probe_levels(m, keys, kind))
+
+    return score
+
+
+#: Rows of texts, of their probes by bucket, and of levels found; texts stand before their levels, segments before probes.
+ROUTED = "run long, kind int, bucket int, data binary"
+
+
+def _routed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["run", "kind", "bucket", "data"])
+
+
+def _packed_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in runs of about ``PROBE_BYTES``, each one row with a number of its own."""
+    held, size, run = [], 0, TaskContext.get().partitionId() << 32
+
+    def flush() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part)
+        return _routed([(run, -1, -1, sink.getvalue().to_pybytes())])
+
+    for batch in batches:
+        for part in tk.slices(batch, "text"):
+            held.append(part)
+            size += part.nbytes
+            if size >= PROBE_BYTES:
+                yield flush()
+                held, size, run = [], 0, run + 1
+    if held:
+        yield flush()
+
+
+def _run_tokens(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    t = pa.ipc.open_stream(data).read_all().combine_chunks()
+    return (t.column(0).combine_chunks(), *_tokens(t.column(1)))
+
+
+def _prober(bits: int):
+    """The distinct keys of each run by bucket."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run, data in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
+                _, t, ptr = _run_tokens(data.as_py())
+                for kind, keys in ((UNIGRAM, np.unique(t)), (BIGRAM, np.unique(_pair_keys(t, ptr)))):
+                    edge = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
+                    yield _routed([(run, kind, b, _encode(keys[i:j])) for b, (i, j) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if j > i])
+
+    return probe
+
+
+def _answerer(bits: int, seg_bits: int):
+    """Levels of the probes of each bucket, whose segment comes first."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, model = -1, {}
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            rows = []
+            for run, kind, b, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if run < 0:
+                    bucket, model = b, {"bits": bits, "seg_bits": seg_bits, "filter": np.frombuffer(data, np.uint8)}
+                    continue
+                keys = _decode(data)
+                # a bucket without a segment holds no entry
+                level = probe_levels(model, keys, kind, first=b) if b == bucket else np.zeros(len(keys), np.int64)
+                rows.append((run, kind, b, pack(level.astype(np.uint8).tobytes())))
+            if rows:
+                yield _routed(rows)
+
+    return answer
+
+
+def _run_scorer(shared):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, unpack = shared.value, zstandard.ZstdDecompressor().decompress
+        for t in whole_groups(batches, ["run"]):
+            bounds = group_bounds(t, ["run"])
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                kind, data = t.column("kind").slice(i, j - i).to_pylist(), t.column("data").slice(i, j - i).to_pylist()
+                found = {k: np.frombuffer(b"".join(unpack(x) for x, own in zip(data, kind, strict=True) if own == k), np.uint8).astype(np.int64) for k in (UNIGRAM, BIGRAM)}
+                yield _scores(m, *_run_tokens(data[0]), lambda keys, k, found=found: found[k])
 
     return score
 
 
+def _by_segments(docs: DataFrame, model: dict) -> DataFrame:
+    """Scores by a filter that isn't broadcast: probes go to their segments, and levels back to their texts."""
+    width, m = partitions(docs), model["arrays"].value
+    runs = cut(docs.mapInArrow(_packed_runs, ROUTED))  # their numbers must stay
+    probes = runs.mapInArrow(_prober(m["bits"]), ROUTED)
+    segments = model["segments"].select(F.lit(-1).cast("long").alias("run"), F.lit(-1).alias("kind"), "bucket", F.col("segment").alias("data"))
+    levels = segments.unionAll(probes).repartition(width, "bucket").sortWithinPartitions("bucket", "run").mapInArrow(_answerer(m["bits"], m["seg_bits"]), ROUTED)
+    return runs.unionAll(levels).repartition(width, "run").sortWithinPartitions("run", "kind", "bucket").mapInArrow(_run_scorer(model["arrays"]), SCORED)
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs(doc_id, text, ...)``.
 
@@ -287,7 +398,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     empty text is the end token alone.  Repeated rows and null ids get their
     rows.  An empty table gives an empty result.
     """
-    rows = cut(texts(docs).mapInArrow(_scorer(model["arrays"]), "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>"))
+    named = texts(docs)
+    rows = cut(named.mapInArrow(_scorer(model["arrays"]), SCORED) if model["segments"] is None else _by_segments(named, model))
     rows = rows.withColumn("row", F.monotonically_increasing_id())  # stable, as the rows are in files
     rare = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("n"))
     c = F.coalesce(F.col("c"), F.lit(0))

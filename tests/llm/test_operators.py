@@ -466,3 +466,12 @@ def test_filter_levels_never_fall_short(spark):
     top = m["keys"], m["counts"]
     level = lm.probe_levels(m, top[0], lm.UNIGRAM)
     assert (level >= lm.level_of(top[1])).all() and (level > lm.level_of(top[1])).mean() < 0.1
+
+
+def test_a_filter_beyond_the_broadcast_keeps_all_counts(spark, corpus, monkeypatch):
+    docs = frame(spark, corpus)
+    want = sorted((repr(r) for r in lm.score(docs, lm.train(texts(docs))).collect()))
+    monkeypatch.setattr(lm, "MAX_BITS", 1 << 12)
+    monkeypatch.setattr(lm, "PROBE_BYTES", 4000, raising=False)
+    assert sorted(repr(r) for r in lm.score(docs, lm.train(texts(docs))).collect()) == want
+    assert lm.score(docs.limit(0), lm.train(texts(docs))).count() == 0
