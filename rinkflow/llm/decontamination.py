@@ -5,7 +5,9 @@ is searched by windows of a size that fits the partition: two neighbouring
 blocks of ``2 ** level`` shingles, so any run as long as an item of that level
 lies within one window and makes up a good part of it.  A window that shares a
 minimum with an item makes its document a candidate, and the exact containment
-of the item's shingles in the whole document's set decides.
+of the item's shingles in the whole document's set decides.  Items of few
+shingles are too small a part of the smallest window; their shingles are looked
+up one by one.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ WORDS = 5
 MINIMA = 64
 #: The smallest blocks have ``2 ** LEAST`` shingles.
 LEAST = 4
+#: Items of fewer shingles than a quarter of the smallest window, which the chance above doesn't hold for, are looked up.
+FEW = (2 << LEAST) // 4
 #: Bytes of item texts that are broadcast at once; more items take further passes over the documents.
 ITEM_BYTES = 8 << 20
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -51,8 +55,9 @@ def index_items(ids: list[int], column: pa.Array) -> dict:
     level = np.maximum(LEAST, np.ceil(np.log2(np.maximum(1, size))).astype(int))
     keys, levels = _keys(), {}
     v32 = (values >> np.uint64(32)).astype(np.uint32)
-    for at in np.unique(level[size > 0]):
-        own = np.flatnonzero((level == at) & (size > 0))
+    few = np.flatnonzero((size > 0) & (size < FEW))
+    for at in np.unique(level[size >= FEW]):
+        own = np.flatnonzero((level == at) & (size >= FEW))
         flat = np.concatenate([v32[ptr[i] : ptr[i + 1]] for i in own])
         heads = np.concatenate([[0], np.cumsum(size[own])[:-1]])
         tables = []
@@ -63,7 +68,9 @@ def index_items(ids: list[int], column: pa.Array) -> dict:
             seen[m >> np.uint32(16)] = True
             tables.append((m[order], own[order], seen))
         levels[int(at)] = tables
-    return {"ids": np.array(ids, np.int64), "values": values, "ptr": ptr, "levels": levels}
+    single = np.concatenate([values[ptr[i] : ptr[i + 1]] for i in few]) if len(few) else values[:0]
+    order = np.argsort(single, kind="stable")
+    return {"ids": np.array(ids, np.int64), "values": values, "ptr": ptr, "levels": levels, "single": single[order], "owner": np.repeat(few, size[few])[order]}
 
 
 def _windows(mins: np.ndarray, block_doc: np.ndarray) -> np.ndarray:
@@ -76,7 +83,7 @@ def _windows(mins: np.ndarray, block_doc: np.ndarray) -> np.ndarray:
 
 def _search(items: dict, threshold: float):
     def candidates(sh: np.ndarray, ptr: np.ndarray, index: dict) -> set[tuple[int, int]]:
-        """(document, item) pairs with a common minimum in some window."""
+        """(document, item) pairs with a common minimum in some window, or a common shingle for items of few."""
         n = np.diff(ptr)
         blocks = -(-n // (1 << LEAST))
         doc = np.repeat(np.arange(len(n)), blocks)
@@ -84,6 +91,14 @@ def _search(items: dict, threshold: float):
         heads = ptr[:-1][doc] + (np.arange(len(doc)) - first[doc]) * (1 << LEAST)
         v32, keys = (sh >> np.uint64(32)).astype(np.uint32), _keys()
         found: set[tuple[int, int]] = set()
+        if len(index["single"]):
+            hit = np.flatnonzero(tk.lookup(index["single"], sh) >= 0)
+            text = np.repeat(np.arange(len(n)), n)[hit]
+            lo, hi = np.searchsorted(index["single"], sh[hit], "left"), np.searchsorted(index["single"], sh[hit], "right")
+            for x in range(len(hit)):
+                found.update((int(text[x]), int(i)) for i in index["owner"][lo[x] : hi[x]])
+        if not index["levels"]:
+            return found
         top = max(index["levels"])
         for j in range(MINIMA):
             mins, owner = _minima(v32, heads, j, keys), doc
@@ -106,7 +121,7 @@ def _search(items: dict, threshold: float):
         for batch in batches:
             for part in tk.slices(batch, "text"):
                 sh, ptr = _hashes(part.column(1))
-                if not len(sh) or not index["levels"]:
+                if not len(sh) or not len(index["values"]):
                     continue
                 ids, rows = part.column(0).to_pylist(), []
                 sets: dict[int, np.ndarray] = {}

@@ -229,6 +229,14 @@ def test_containment_in_item_blocks(spark, corpus, monkeypatch):
     test_containment_equals_brute_force(spark, corpus)
 
 
+def test_containment_of_short_items(spark):
+    """Items of five to eight words, each in the middle of a long document."""
+    items = [(i, " ".join(f"i{i}x{j}" for j in range(5 + i % 4))) for i in range(200)]
+    docs = [(i, f"{prose(400, 6000 + i)} {t} {prose(400, 7000 + i)}", None, None, None) for i, t in items]
+    got = decontamination.contained(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(200)]
+
+
 # 5
 
 
