@@ -182,3 +182,8 @@ def test_decoder_failures_leave_a_row(spark, tmp_path):
 
     got = pages.read_documents(spark, str(tmp_path), decode)
     assert got.count() == 3 and pages.shot_pages(got).count() == 1 and got.where("text is null").count() == 1
+
+
+def test_markdown_holds_all_rows(spark):
+    lines = tables.markdown(spark.range(2500)).splitlines()
+    assert len(lines) == 2502 and {*lines[2:]} == {f"| {i} |" for i in range(2500)}
