@@ -1,15 +1,17 @@
 """Language-model scores from a log-frequency Bloom filter (Talbot and Osborne, 2007).
 
-Unigrams and bigrams of the whole training corpus are counted by a shuffle.
-The filter holds a count's quantised level as that many entries: a key of level
-q is inserted with the numbers 1 to q, and a reader probes 1, 2, ... until one
-is absent, so a false positive can only raise a count by a level or so.  The
-filter grows with the corpus, so that its error rate stays.  It is broadcast up
-to a bound; a larger one stays in segments by bucket of keys, to which the
-probes are sent by a shuffle.
-
-Probabilities are bigram counts smoothed towards the unigram distribution
-(Dirichlet prior).  Numerators take the low end of a level and denominators
+N-grams of up to ``ORDER`` words of the whole training corpus are counted by a
+shuffle.  Counts of two words and more go into a Bloom filter as quantised
+levels: a key of level q is inserted with the numbers 1 to q, and a reader
+probes 1, 2, ... until one is absent, so a false positive can only raise a
+count by a level or so.  Counts of single words are kept exactly.  The filter
+grows with the corpus, so it can't be broadcast: it lies in segments by bucket
+of keys, each as large as its own entries need.  Texts are dealt to runs; the
+distinct n-grams of a run are sent to their segments and the levels back to the
+run.  All sizes take this one way, and no count is ever left out.
+
+Probabilities of each order are counts smoothed towards the next lower order
+(Dirichlet priors).  Numerators take the low end of a level and denominators
 the high end, so the distribution sums to one at most, but for false positives.
 """
 
@@ -20,24 +22,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
 from ._util import cut, group_bounds, id_remainder, partitions, texts, whole_groups
 
-#: Bits of a filter that is broadcast at most, bits for each entry, and probes for each entry.
-MAX_BITS, ENTRY_BITS, PROBES = 1 << 28, 10, 5
-#: Weight of the unigram distribution in a context.
-PRIOR = 8.0
-#: Frequent tokens whose exact counts are broadcast at most; rarer ones are joined.
-FREQUENT = 1 << 20
+ORDER = 3
+#: Weight of the next lower order in a context, by order.
+PRIORS = {2: 256.0, 3: 0.25}
+#: Bits for each entry of a segment, and probes for each.
+ENTRY_BITS, PROBES = 8, 5
 #: Tokens that a task counts before it sends the counts on.
-BUFFER = 1 << 21
-#: Bytes of texts whose probes are sent to the segments together.
-PROBE_BYTES = 8 << 20
-UNIGRAM, BIGRAM = 0, 1
+BUFFER = 1 << 22
+#: Bytes of training text behind a bucket of keys, and of scored texts in a run, as a mean.
+BUCKET_BYTES, RUN_BYTES = 16 << 20, 8 << 20
+#: Keys of two words and more keep so many bits over those that number the corpus's bytes, and this many at least.
+SPARE_BITS, KEY_BITS = 7, 32
 #: The token that ends each text.
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
 
@@ -61,352 +62,313 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, ptr
 
 
-def _bigrams(tokens: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """Key of each token with the one before it; the end stands before a text's first."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    if len(tokens):
-        before[ptr[:-1]] = END
-    return tk.mix64(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
+def _before(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """Each text's values moved on by one place; the end stands before the first."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    if len(values):
+        out[ptr[:-1]] = END
+    return out
+
+
+def _grams(tokens: np.ndarray, ptr: np.ndarray, key_bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, keys) of the n words that end at each token; single words keep all 64 bits."""
+    yield 1, tokens
+    key = tokens
+    for n in range(2, ORDER + 1):
+        key = tk.mix64(_before(key, ptr) * np.uint64(0x9E3779B97F4A7C15) + tokens)
+        yield n, key >> np.uint64(64 - key_bits)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Compressed numbers from 0, byte by byte, in as many bytes as the largest needs."""
+    size = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T)
+    packer = tk.process_cache().setdefault("packer", zstandard.ZstdCompressor(level=1))
+    return bytes([size]) + packer.compress(planes.tobytes())
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    unpacker = tk.process_cache().setdefault("unpacker", zstandard.ZstdDecompressor())
+    planes = np.frombuffer(unpacker.decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : blob[0]] = planes.T
+    return out.view("<u8").ravel()
 
 
-def _encode(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, in four bytes each where they fit."""
-    gaps = np.diff(keys, prepend=keys[:1])
-    small = len(gaps) == 0 or int(gaps.max()) < 1 << 32
-    return keys[:1].tobytes() + (b"\x04" if small else b"\x08") + gaps[1:].astype("<u4" if small else "<u8").tobytes()
+def _width(n: int, key_bits: int) -> int:
+    return 64 if n == 1 else key_bits
 
 
-def _decode(blob: bytes) -> np.ndarray:
-    if len(blob) < 9:
-        return np.zeros(0, np.uint64)
-    first = np.frombuffer(blob, np.uint64, 1)
-    gaps = np.frombuffer(blob, "<u4" if blob[8] == 4 else "<u8", offset=9).astype(np.uint64)
-    return np.concatenate([first, first + np.cumsum(gaps, dtype=np.uint64)])
+def _by_bucket(keys: np.ndarray, width: int, bits: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(bucket, first, end, packed keys) of sorted distinct keys of so many bits."""
+    shift = np.uint64(width - bits)
+    edge = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << shift).tolist()
+    for b, (i, j) in enumerate(zip(edge, [*edge[1:], len(keys)], strict=True)):
+        if j > i:
+            yield b, i, j, _pack(np.diff(keys[i:j], prepend=np.uint64(b) << shift))
 
 
-COUNTED = "kind int, bucket int, n long, keys binary, counts binary"
+def _keys_of(blob: bytes, bucket: int, width: int, bits: int) -> np.ndarray:
+    return np.cumsum(_unpack(blob), dtype=np.uint64) + (np.uint64(bucket) << np.uint64(width - bits))
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in COUNTED.split(", ")])
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    named = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows, strict=True), named, strict=True)], [n for n, _ in named])
 
 
-def _counter(bits: int):
-    shift = np.uint64(64 - bits)
+COUNTED = "bucket int, n int, keys binary, counts binary"
 
-    def flush(kind: int, held: list[np.ndarray]) -> pa.RecordBatch:
+
+def _counter(bits: int, key_bits: int):
+    def flush(n: int, held: list[np.ndarray]) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        edge = np.searchsorted(keys >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
-        pack = zstandard.ZstdCompressor(level=1).compress
-        return _batch([(kind, b, j - i, _encode(keys[i:j]), pack(counts[i:j].astype("<u4").tobytes())) for b, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if j > i])
+        return _batch([(b, n, blob, _pack(counts[i:j])) for b, i, j, blob in _by_bucket(keys, _width(n, key_bits), bits)], COUNTED)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = ([], []), 0
+        held, size = {}, 0
         for batch in batches:
             for part in tk.slices(batch, "text"):
                 t, ptr = _tokens(part.column(0))
-                # bigram keys keep 48 bits, which pack better
-                held[UNIGRAM].append(t)
-                held[BIGRAM].append(_bigrams(t, ptr) >> np.uint64(16) << np.uint64(16))
+                for n, keys in _grams(t, ptr, key_bits):
+                    held.setdefault(n, []).append(keys)
                 size += len(t)
                 if size >= BUFFER:
-                    yield from (flush(k, held[k]) for k in (UNIGRAM, BIGRAM))
-                    held, size = ([], []), 0
+                    yield from (flush(n, held.pop(n)) for n in list(held))
+                    size = 0
         if size:
-            yield from (flush(k, held[k]) for k in (UNIGRAM, BIGRAM))
+            yield from (flush(n, held.pop(n)) for n in list(held))
 
     return count
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys = ["kind", "bucket"]
-    unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
-    for t in whole_groups(batches, keys):
-        bounds = group_bounds(t, keys)
-        for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-            part = t.slice(i, j - i)
-            k = np.concatenate([_decode(x) for x in part.column("keys").to_pylist()])
-            c = np.concatenate([np.frombuffer(unpack(x), "<u4") for x in part.column("counts").to_pylist()]).astype(np.int64)
-            u, at = np.unique(k, return_inverse=True)
-            total = np.bincount(at, weights=c, minlength=len(u)).astype(np.int64)
-            yield _batch([(part.column("kind")[0].as_py(), part.column("bucket")[0].as_py(), len(u), _encode(u), pack(total.astype("<u8").tobytes()))])
-
-
-def _counts_of(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u8").astype(np.int64)
+MERGED = "bucket int, tokens long, distinct long, keys binary, counts binary, segment binary"
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for kind, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            c = _counts_of(counts)
-            hist = np.bincount(level_of(c), minlength=len(LEVELS) + 1)
-            at = np.flatnonzero(hist)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at), pa.array(hist[at]), pa.array(np.bincount(level_of(c), weights=c)[at].astype(np.int64))], ["kind", "level", "n", "total"])
-
+def _merger(bits: int, key_bits: int):
+    """Exact counts of a bucket's single words and the filter's segment of the others."""
 
-def _unigram_rows(least: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                k, c = _decode(keys), _counts_of(counts)
-                own = c >= least
-                yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(c[own])], ["h", "c"])
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["bucket"]):
+            bounds = group_bounds(t, ["bucket"])
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                part = t.slice(i, j - i)
+                bucket, order = part.column("bucket")[0].as_py(), part.column("n").to_numpy()
+                single, levels, entries = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), {}, 0
+                for n in range(1, ORDER + 1):
+                    own = part.filter(pa.array(order == n))
+                    if own.num_rows:
+                        keys = np.concatenate([_keys_of(x, bucket, _width(n, key_bits), bits) for x in own.column("keys").to_pylist()])
+                        counts = np.concatenate([_unpack(x) for x in own.column("counts").to_pylist()])
+                        by_key = np.argsort(keys, kind="stable")
+                        keys, counts = keys[by_key], counts[by_key].astype(np.int64)
+                        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                        keys, counts = keys[heads], np.add.reduceat(counts, heads)
+                        if n == 1:
+                            single = keys, counts
+                        else:
+                            levels[n] = keys, level_of(counts)
+                            entries += int(levels[n][1].sum())
+                seg = np.zeros(max(64, -(-entries * ENTRY_BITS // 64) * 64), bool)
+                for n, (keys, level) in levels.items():
+                    for q in range(1, int(level.max()) + 1):
+                        for at in _places(keys[level >= q], n, q, len(seg)):
+                            seg[at] = True
+                packed = _pack(np.diff(single[0], prepend=np.uint64(bucket) << np.uint64(64 - bits)))
+                yield _batch([(bucket, int(single[1].sum()), len(single[0]), packed, _pack(single[1]), np.packbits(seg, bitorder="little").tobytes())], MERGED)
 
-    return rows
+    return merge
 
 
-def _bits(keys: np.ndarray, kind: int, level: int, seg_bits: int) -> Iterator[np.ndarray]:
+def _places(keys: np.ndarray, n: int, level: int, seg_bits: int) -> Iterator[np.ndarray]:
     """Places in a segment of ``seg_bits`` bits for each probe of an entry."""
-    h = tk.mix64(keys ^ np.uint64((0xA0761D6478BD642F * (2 * level + kind + 1)) & (2**64 - 1)))
+    h = tk.mix64(keys ^ np.uint64((0xA0761D6478BD642F * (ORDER * level + n)) & (2**64 - 1)))
     a, step = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
         yield ((a + np.uint64(i) * step) % np.uint64(seg_bits)).astype(np.int64)
 
 
-def _filler(seg_bits: int):
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ["bucket"]):
-            bounds = group_bounds(t, ["bucket"])
-            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-                seg = np.zeros(seg_bits, bool)
-                for r in t.slice(i, j - i).to_pylist():
-                    k, level = _decode(r["keys"]), level_of(_counts_of(r["counts"]))
-                    for q in range(1, int(level.max()) + 1):
-                        for at in _bits(k[level >= q], r["kind"], q, seg_bits):
-                            seg[at] = True
-                yield pa.RecordBatch.from_arrays([pa.array([t.column("bucket")[i].as_py()], pa.int32()), pa.array([np.packbits(seg, bitorder="little").tobytes()], pa.binary())], ["bucket", "segment"])
-
-    return fill
-
-
-def probe_levels(model: dict, keys: np.ndarray, kind: int, first: int = 0) -> np.ndarray:
-    """Level of each key by repeated probes; 0 if its first entry is absent.  The filter begins with segment ``first``."""
+def probe_levels(segment: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """Level of each key by repeated probes; 0 if its first entry is absent."""
     out = np.zeros(len(keys), np.int64)
-    if not model["seg_bits"]:
-        return out
-    q = 1
-    live = np.arange(len(keys))
-    base = ((keys >> np.uint64(64 - model["bits"])).astype(np.int64) - first) * model["seg_bits"]
-    filter_ = model["filter"]
-    while len(live) and q <= len(LEVELS):
-        there = np.ones(len(live), bool)
+    live, q = np.arange(len(keys)), 1
+    while len(live) and len(segment) and q <= len(LEVELS):
         left = np.arange(len(live))
-        for at in _bits(keys[live], kind, q, model["seg_bits"]):
-            bit = base[live[left]] + at[left]
-            ok = (filter_[bit >> 3] >> (bit & 7)) & 1
-            there[left[ok == 0]] = False
-            left = left[ok == 1]
-            if not len(left):
-                break
-        live = live[there]
+        for at in _places(keys[live], n, q, len(segment) * 8):
+            bit = at[left]
+            left = left[(segment[bit >> 3] >> (bit & 7)) & 1 == 1]
+        live = live[left]
         out[live] = q
         q += 1
     return out
 
 
-def train(docs: DataFrame) -> dict:
-    """Counts of all unigrams and bigrams of ``docs(text)``, as a model for ``score``.
+def _bytes_of(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
-    ``unigrams`` is a table (h, c) of exact counts; the arrays that are
-    broadcast have proven bounds: ``MAX_BITS`` bits and ``FREQUENT`` counts.
-    ``segments`` is a table (bucket, segment) of a filter beyond that bound.
-    """
-    spark = docs.sparkSession
-    width = partitions(docs)
-    bits = max(6, (width - 1).bit_length())
-    counted = docs.select("text").mapInArrow(_counter(bits), COUNTED)
-    merged = cut(counted.repartition(width, "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_merge, COUNTED))
-    hist = merged.select("kind", "counts").mapInArrow(_measure, "kind int, level long, n long, total long").groupBy("kind", "level").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()  # a row for each level
-    number = {(r.kind, r.level): r.n for r in hist}
-    tokens = sum(r.total for r in hist if r.kind == UNIGRAM)
-    distinct = sum(r.n for r in hist if r.kind == UNIGRAM)
-
-    entries = sum(n * level for (_, level), n in number.items())
-    seg_bits = max(64, (entries * ENTRY_BITS >> bits) // 64 * 64 + 64) if entries else 0
-    filter_, segments = np.zeros(0, np.uint8), None
-    if seg_bits:
-        segments = merged.select("kind", "bucket", "keys", "counts").repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_filler(seg_bits), "bucket int, segment binary")
-        if entries * ENTRY_BITS > MAX_BITS:
-            segments = cut(segments)
-        else:
-            filter_ = np.zeros((seg_bits << bits) // 8, np.uint8)
-            got, segments = segments.toArrow(), None
-            for b, seg in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
-                filter_[b * seg_bits // 8 : (b + 1) * seg_bits // 8] = np.frombuffer(seg, np.uint8)
-    at, room = len(LEVELS), FREQUENT
-    while at > 0 and number.get((UNIGRAM, at), 0) <= room:
-        room -= number.get((UNIGRAM, at), 0)
-        at -= 1
-    unigrams = merged.where(F.col("kind") == UNIGRAM).select("keys", "counts")
-    top = unigrams.mapInArrow(_unigram_rows(int(LEVELS[at]) if at < len(LEVELS) else 1 << 62), "h long, c long").toArrow()
-    h, c = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
-    order = np.argsort(h)
-    arrays = {"bits": bits, "seg_bits": seg_bits, "filter": filter_, "keys": h[order], "counts": c[order], "tokens": tokens, "distinct": distinct}
-    return {"arrays": spark.sparkContext.broadcast(arrays), "segments": segments, "tokens": tokens, "distinct": distinct, "unigrams": unigrams.mapInArrow(_unigram_rows(0), "h long, c long")}
-
-
-SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>"
-
-
-def _scores(m: dict, ids: pa.Array, t: np.ndarray, ptr: np.ndarray, levels) -> pa.RecordBatch:
-    """Scores of texts of tokens ``t``; ``levels`` gives those of distinct keys of a kind."""
-    total = m["tokens"] + m["distinct"] + 1
-    top = np.append(LEVELS[1:], LEVELS[-1] * 2) - 1
-    uniq, at = np.unique(t, return_inverse=True)
-    known = tk.lookup(m["keys"], uniq)
-    count = np.where(known >= 0, m["counts"][known] if len(m["counts"]) else 0, -1)[at]
-    level = levels(uniq, UNIGRAM)
-    low = np.where(level > 0, LEVELS[level - 1], 0)
-    high = np.where(level > 0, top[level - 1], 0)
-    p1 = ((low + 1) / total)[at]
-    context = np.empty(len(t), np.int64)
-    context[1:] = high[at[:-1]]
-    context[ptr[:-1]] = high[at[ptr[1:] - 1]]  # the end stands before the first token
-    pairs, pair_at = np.unique(_pair_keys(t, ptr), return_inverse=True)
-    pair = levels(pairs, BIGRAM)[pair_at]
-    joint = np.minimum(np.where(pair > 0, LEVELS[pair - 1], 0), context)
-    logs = np.log10((joint + PRIOR * p1) / (context + PRIOR))
-    sure = count >= 0
-    base = np.where(sure, np.log10((np.maximum(count, 0) + 1) / total), 0.0)
-    heads = ptr[:-1]
-    rare = np.flatnonzero(~sure)
-    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, ptr).astype(np.int32)), pa.array(t[rare].view(np.int64)))
-    return pa.RecordBatch.from_arrays(
-        [ids, pa.array(np.diff(ptr)), pa.array(np.add.reduceat(sure, heads).astype(np.int64)), pa.array(np.add.reduceat(base, heads)), pa.array(np.add.reduceat(logs, heads)), lists],
-        ["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
-    )
-
-
-def _pair_keys(t: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    return _bigrams(t, ptr) >> np.uint64(16) << np.uint64(16)
-
-
-def _scorer(shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            for part in tk.slices(batch, "text"):
-                yield _scores(m, part.column(0), *_tokens(part.column(1)), lambda keys, kind: probe_levels(m, keys, kind))
-
-    return score
-
-
-#: Rows of texts, of their probes by bucket, and of levels found; texts stand before their levels, segments before probes.
-ROUTED = "run long, kind int, bucket int, data binary"
 
+def train(docs: DataFrame) -> dict:
+    """Counts of all n-grams of ``docs(text)``, as a model for ``score``.
 
-def _routed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["run", "kind", "bucket", "data"])
+    ``buckets`` is a table with a row for each bucket of keys: exact counts of
+    its single words and the filter's segment of its other n-grams.  Their
+    number grows with the corpus, so a task's memory doesn't.  Null texts are
+    left out; repeated rows count as often as they occur.  An empty table gives
+    a model without counts.
+    """
+    docs = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    size = _bytes_of(docs)
+    bits = max(2, (size // BUCKET_BYTES).bit_length())
+    key_bits = min(60, max(KEY_BITS, size.bit_length() + SPARE_BITS))
+    counted = docs.mapInArrow(_counter(bits, key_bits), COUNTED)
+    buckets = cut(counted.repartition(max(partitions(docs), 1 << bits >> 1), "bucket").sortWithinPartitions("bucket").mapInArrow(_merger(bits, key_bits), MERGED))
+    total = buckets.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
+    return {"buckets": buckets, "bits": bits, "key_bits": key_bits, "tokens": total.tokens or 0, "distinct": total.distinct or 0}
 
 
-def _packed_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts in runs of about ``PROBE_BYTES``, each one row with a number of its own."""
-    held, size, run = [], 0, TaskContext.get().partitionId() << 32
+#: Rows that meet in a bucket: the model's (run -2: counts, -1: segment), and probes of runs; and the answers.
+ROUTED = "run long, bucket int, n int, data binary, more binary"
 
-    def flush() -> pa.RecordBatch:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            for part in held:
-                out.write_batch(part)
-        return _routed([(run, -1, -1, sink.getvalue().to_pybytes())])
 
+def _dealer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of each batch by run, compressed."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:
-        for part in tk.slices(batch, "text"):
-            held.append(part)
-            size += part.nbytes
-            if size >= PROBE_BYTES:
-                yield flush()
-                held, size, run = [], 0, run + 1
-    if held:
-        yield flush()
-
-
-def _run_tokens(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    t = pa.ipc.open_stream(data).read_all().combine_chunks()
-    return (t.column(0).combine_chunks(), *_tokens(t.column(1)))
+        run = batch.column(0).to_numpy()
+        order = np.argsort(run, kind="stable")
+        edge = np.flatnonzero(np.append(True, run[order][1:] != run[order][:-1]))
+        rows = []
+        for i, j in zip(edge.tolist(), [*edge[1:].tolist(), len(order)], strict=True):
+            own = batch.take(pa.array(order[i:j])).select([1, 2])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own.schema, options=options) as out:
+                out.write_batch(own)
+            rows.append((int(run[order[i]]), sink.getvalue().to_pybytes()))
+        if rows:
+            yield _batch(rows, "run long, data binary")
+
+
+def _run_tokens(blobs: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Ids, tokens and each text's first token of the texts of a run."""
+    ids, tokens, ptr = [], [], [np.zeros(1, np.int64)]
+    for blob in blobs:
+        for batch in pa.ipc.open_stream(blob):
+            for part in tk.slices(batch, "text"):
+                t, p = _tokens(part.column(1))
+                ids.append(part.column(0))
+                tokens.append(t)
+                ptr.append(p[1:] + ptr[-1][-1])
+    return pa.concat_arrays(ids), np.concatenate(tokens), np.concatenate(ptr)
 
 
-def _prober(bits: int):
-    """The distinct keys of each run by bucket."""
+def _prober(bits: int, key_bits: int):
+    """The distinct n-grams of each run by bucket."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run, data in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
-                _, t, ptr = _run_tokens(data.as_py())
-                for kind, keys in ((UNIGRAM, np.unique(t)), (BIGRAM, np.unique(_pair_keys(t, ptr)))):
-                    edge = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
-                    yield _routed([(run, kind, b, _encode(keys[i:j])) for b, (i, j) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if j > i])
+        for t in whole_groups(batches, ["run"]):
+            bounds = group_bounds(t, ["run"])
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                run = t.column("run")[int(i)].as_py()
+                _, tokens, ptr = _run_tokens(t.column("data").slice(i, j - i).to_pylist())
+                for n, keys in _grams(tokens, ptr, key_bits):
+                    yield _batch([(run, b, n, blob, None) for b, _, _, blob in _by_bucket(tk.distinct(keys), _width(n, key_bits), bits)], ROUTED)
 
     return probe
 
 
-def _answerer(bits: int, seg_bits: int):
-    """Levels of the probes of each bucket, whose segment comes first."""
+def _answerer(bits: int, key_bits: int):
+    """Exact counts of single words and levels of the others, for the probes of each bucket."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, model = -1, {}
-        pack = zstandard.ZstdCompressor(level=1).compress
+        bucket, none = -1, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        single, segment = none, np.zeros(0, np.uint8)
         for batch in batches:
             rows = []
-            for run, kind, b, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if run < 0:
-                    bucket, model = b, {"bits": bits, "seg_bits": seg_bits, "filter": np.frombuffer(data, np.uint8)}
-                    continue
-                keys = _decode(data)
-                # a bucket without a segment holds no entry
-                level = probe_levels(model, keys, kind, first=b) if b == bucket else np.zeros(len(keys), np.int64)
-                rows.append((run, kind, b, pack(level.astype(np.uint8).tobytes())))
+            for run, b, n, data, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket:  # a bucket without counts holds no entry
+                    bucket, single, segment = b, none, np.zeros(0, np.uint8)
+                if run == -2:
+                    single = _keys_of(data, b, 64, bits), _unpack(more)
+                elif run == -1:
+                    segment = np.frombuffer(data, np.uint8)
+                else:
+                    keys = _keys_of(data, b, _width(n, key_bits), bits)
+                    if n == 1:
+                        at = tk.lookup(single[0], keys)
+                        found = np.where(at >= 0, single[1][at], 0) if len(single[0]) else np.zeros(len(keys), np.int64)
+                    else:
+                        found = probe_levels(segment, keys, n)
+                    rows.append((run, b, n, _pack(found), None))
             if rows:
-                yield _routed(rows)
+                yield _batch(rows, ROUTED)
 
     return answer
 
 
-def _run_scorer(shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, unpack = shared.value, zstandard.ZstdDecompressor().decompress
-        for t in whole_groups(batches, ["run"]):
-            bounds = group_bounds(t, ["run"])
-            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-                kind, data = t.column("kind").slice(i, j - i).to_pylist(), t.column("data").slice(i, j - i).to_pylist()
-                found = {k: np.frombuffer(b"".join(unpack(x) for x, own in zip(data, kind, strict=True) if own == k), np.uint8).astype(np.int64) for k in (UNIGRAM, BIGRAM)}
-                yield _scores(m, *_run_tokens(data[0]), lambda keys, k, found=found: found[k])
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
-    return score
 
+def _scores(ids: pa.Array, tokens: np.ndarray, ptr: np.ndarray, found: dict[int, np.ndarray], total: int, key_bits: int) -> pa.Table:
+    """Scores of a run's texts; ``found`` has the counts or levels of its distinct n-grams, in order of their keys."""
+    top = np.append(LEVELS[1:], LEVELS[-1] * 2) - 1
+    p, context, heads = None, None, ptr[:-1]
+    for n, keys in _grams(tokens, ptr, key_bits):
+        value = found[n].astype(np.int64)[np.unique(keys, return_inverse=True)[1]]
+        if n == 1:
+            known, p = value > 0, (value + 1) / total
+            base = np.log10(p)
+            low = high = value
+            # a text stands after the end of another
+            ends = low[ptr[1:] - 1]
+        else:
+            low, high = (np.where(value > 0, x[value - 1], 0) for x in (LEVELS, top))
+            p = (np.minimum(low, context) + PRIORS[n] * p) / (context + PRIORS[n])
+        context = np.empty(len(tokens), np.int64)
+        context[1:] = high[:-1]
+        context[heads] = ends
+    add = lambda x: pa.array(np.add.reduceat(x, heads))
+    return pa.table([ids, pa.array(np.diff(ptr)), add(known.astype(np.int64)), add(base), add(np.log10(p))], names=[x.split()[0] for x in SCORED.split(", ")])
+
+
+def _scorer(total: int, key_bits: int):
+    def score(dealt: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by([("n", "ascending"), ("bucket", "ascending")])
+        order, data = answers.column("n").to_numpy(), answers.column("data").to_pylist()
+        found = {n: np.concatenate([_unpack(x) for x, own in zip(data, order, strict=True) if own == n]) for n in range(1, ORDER + 1)}
+        return _scores(*_run_tokens(dealt.column("data").to_pylist()), found, total, key_bits)
 
-def _by_segments(docs: DataFrame, model: dict) -> DataFrame:
-    """Scores by a filter that isn't broadcast: probes go to their segments, and levels back to their texts."""
-    width, m = partitions(docs), model["arrays"].value
-    runs = cut(docs.mapInArrow(_packed_runs, ROUTED))  # their numbers must stay
-    probes = runs.mapInArrow(_prober(m["bits"]), ROUTED)
-    segments = model["segments"].select(F.lit(-1).cast("long").alias("run"), F.lit(-1).alias("kind"), "bucket", F.col("segment").alias("data"))
-    levels = segments.unionAll(probes).repartition(width, "bucket").sortWithinPartitions("bucket", "run").mapInArrow(_answerer(m["bits"], m["seg_bits"]), ROUTED)
-    return runs.unionAll(levels).repartition(width, "run").sortWithinPartitions("run", "kind", "bucket").mapInArrow(_run_scorer(model["arrays"]), SCORED)
+    return score
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs(doc_id, text, ...)``.
 
-    ``base_score`` is the add-one unigram log10 probability by exact counts:
-    frequent tokens find theirs in a broadcast array, the others by a join.
-    ``score`` is the smoothed bigram log10 probability by probes.  A null or
-    empty text is the end token alone.  Repeated rows and null ids get their
-    rows.  An empty table gives an empty result.
+    ``base_score`` is the add-one log10 probability of the single tokens by
+    exact counts; ``score`` is that of the smoothed n-grams, whose counts come
+    from repeated probes.  A null or empty text is the end token alone.
+    Repeated rows and null ids get their rows; other columns are ignored.  A
+    very long text is a run of its own at most.  An empty table gives an empty
+    result.
     """
+    bits, key_bits, width = model["bits"], model["key_bits"], partitions(docs)
     named = texts(docs)
-    rows = cut(named.mapInArrow(_scorer(model["arrays"]), SCORED) if model["segments"] is None else _by_segments(named, model))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())  # stable, as the rows are in files
-    rare = rows.select("row", F.explode("rare").alias("h")).groupBy("row", "h").agg(F.count("*").alias("n"))
-    c = F.coalesce(F.col("c"), F.lit(0))
+    runs = max(1, _bytes_of(named) // RUN_BYTES)
+    # a row's run follows from its content, so a repeated task deals alike
+    run = F.pmod(F.xxhash64("doc_id", "text"), F.lit(runs)).alias("run")
+    dealt = named.select(run, "doc_id", "text").mapInArrow(_dealer, "run long, data binary").repartition(max(width, runs >> 2), "run")
+    probes = dealt.sortWithinPartitions("run").mapInArrow(_prober(bits, key_bits), ROUTED)
+    b = model["buckets"]
+    nothing = F.lit(None).cast("binary").alias("more")
+    counts = b.select(F.lit(-2).cast("long").alias("run"), "bucket", F.lit(1).alias("n"), F.col("keys").alias("data"), F.col("counts").alias("more"))
+    segments = b.select(F.lit(-1).cast("long").alias("run"), "bucket", F.lit(0).alias("n"), F.col("segment").alias("data"), nothing)
+    both = probes.unionAll(counts).unionAll(segments).repartition(max(width, 1 << bits >> 1), "bucket").sortWithinPartitions("bucket", "run")
+    answers = both.mapInArrow(_answerer(bits, key_bits), ROUTED).select("run", "bucket", "n", "data")
+    # both sides are dealt by run, and the texts' exchange is the one that the probes read
     total = model["tokens"] + model["distinct"] + 1
-    joined = rare.join(model["unigrams"], "h", "left").groupBy("row").agg(F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(total)))).alias("rare_base"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("rare_known"))
-    out = rows.drop("rare").join(joined, "row", "left")
-    return out.select("doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model["tokens"]).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
+    scored = dealt.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_scorer(total, key_bits), SCORED)
+    return scored.select("doc_id", "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def held_out(column: str = "doc_id") -> Column:
