@@ -40,12 +40,12 @@ with w as (select doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10
 grams as (select doc_id, i - 1 as pos, ws[i] || ' ' || ws[i+1] as pair from (select doc_id, ws, unnest(range(1, len(ws))) as i from w)),
 known as (select template, label, base, len(t) - 1 as pairs, i - 1 as place, t[i] || ' ' || t[i+1] as pair
   from (select *, unnest(range(1, len(t))) as i from (select template, label, base, string_split(phrase, ' ') as t from (values {_VALUES}) x(template, label, base, phrase)))),
-votes as (select doc_id, template, label, base, pairs, pos - place as diagonal, count(distinct place) as votes, min(pos) as first, max(pos) as last from grams join known using (pair) group by all),
-near as (select *, sum(new) over (partition by doc_id, template order by diagonal rows unbounded preceding) as run
-  from (select *, case when diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) <= {DRIFT} then 0 else 1 end as new from votes where not base)),
-merged as (select doc_id, label, base, pairs, least(1.0::double, sum(votes) / cast(pairs as double)) as coverage, min(first) as s, max(last) + 2 as e from near group by doc_id, template, label, base, pairs, run),
-spans as (select doc_id, label, base, 1.0::double as coverage, diagonal as s from votes where base and votes = pairs
-  union all select doc_id, label, base, coverage, s from merged where coverage >= {COVERAGE} and e - s <= 2 * (pairs + 1)),
+votes as (select doc_id, template, label, base, pairs, pos - place as diagonal, bit_or(cast(1 as bigint) << cast(place as bigint)) as own, min(pos) as first, max(pos) as last from grams join known using (pair) group by all),
+near as (select *, cast(bit_count(case when base then own else bit_or(own) over w end) as double) / pairs as coverage, case when base then diagonal else min(first) over w end as s
+  from votes window w as (partition by doc_id, template order by diagonal range between {DRIFT} preceding and {DRIFT} following)),
+spans as (select * from (select *, coalesce(max(coverage) over (partition by doc_id, template order by diagonal range between {2 * DRIFT} preceding and 1 preceding), 0) as before,
+    coalesce(max(coverage) over (partition by doc_id, template order by diagonal range between 1 following and {2 * DRIFT} following), 0) as after from near)
+  where case when base then coverage = 1 else coverage >= {COVERAGE} and coverage > before and coverage >= after end),
 found as (select doc_id, count(*) filter (where base) as n_base, min(s) filter (where base) as first_word, max(s) filter (where base) as last_word,
   array_to_string(list_sort(list(distinct label) filter (where base)), ',') as base_labels, array_to_string(list_sort(list(distinct label)), ',') as labels, max(coverage) as score from spans group by doc_id)
 select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_base, 0) as n_base, cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0::double) as score
