@@ -24,8 +24,8 @@ from ._util import id_remainder
 WINDOW = 16
 GRAMS = (3, 4, 5)
 BUCKETS, DIMS = 1 << 18, 4
-#: Training rows of each label at most, bytes of a text in the sample at most, and bytes of all of them.
-SAMPLE, TEXT_BYTES, SAMPLE_BYTES = 2500, 64 << 10, 24 << 20
+#: Training rows of each label at most; the model is fitted on this sample of whole texts.
+SAMPLE = 2500
 STEPS, RATE = 75, 1.5
 #: Gradients under this share of the largest one take steps in proportion, so what few documents show weighs little.
 FLOOR = 0.05
@@ -180,28 +180,20 @@ def _scorer(model):
 
 
 def sample(docs: DataFrame, labels: DataFrame, train_rows: Column) -> tuple[list[str], np.ndarray]:
-    """Texts and labels to train on: of each label the ``SAMPLE`` ids of smallest hash.
+    """Texts and labels to train on: of each label the ``SAMPLE`` ids of smallest hash, with whole texts.
 
-    An id with several labels is toxic if one of them says so.  Texts of more
-    than ``TEXT_BYTES`` bytes aren't sampled, and no more than ``SAMPLE_BYTES``
-    of text in the order of the hash.
+    An id with several labels is toxic if one of them says so; of several texts
+    under an id the first in order counts.
     """
-    known = labels.where("doc_id is not null and toxic is not null").where(train_rows).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = labels.where("doc_id is not null and toxic is not null").where(train_rows).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.withColumn("draw", F.xxhash64("doc_id", F.lit("toxicity")))
     ids = known.where("toxic = 1").orderBy("draw").limit(SAMPLE).unionAll(known.where("toxic = 0").orderBy("draw").limit(SAMPLE))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= TEXT_BYTES)
-    rows = text.join(F.broadcast(ids), "doc_id").select("draw", "toxic", "text").dropDuplicates(["draw"])  # at most 2 * SAMPLE rows
-    size = F.sum(F.octet_length("text")).over(_by_draw())
-    got = rows.withColumn("before", size).where(F.col("before") <= SAMPLE_BYTES).orderBy("draw").collect()
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = text.join(F.broadcast(ids), "doc_id").groupBy("draw", "toxic").agg(F.min("text").alias("text"))  # at most 2 * SAMPLE rows
+    got = rows.orderBy("draw").collect()
     return [r.text for r in got], np.array([r.toxic for r in got], np.int8)
 
 
-def _by_draw():
-    from pyspark.sql import Window
-
-    return Window.orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None) -> DataFrame:
     """(doc_id, score, predicted) of every row of ``docs(doc_id, text, ...)``.
 
@@ -210,7 +202,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: Column | None = Non
     probability of a window; a null text or one without words has no window and
     gets the score of an empty bag.  Without labels of both kinds to learn
     from, all scores are near 0 (or near 1 if all are toxic).  Repeated rows
-    and null ids get their rows.
+    and null ids get their rows; equal texts get equal scores; a very long text
+    is scored in all its windows; other columns, whatever their names, are
+    ignored.  An empty table gives an empty result, and empty labels the bias.
     """
     texts, y = sample(docs, labels, train_rows if train_rows is not None else F.lit(True))
     model = docs.sparkSession.sparkContext.broadcast(train(texts, y))
