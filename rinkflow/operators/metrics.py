@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import COVERAGE_FLOOR, END, LINK_TOLERANCE, NEAR_ZERO, NOISE_DIST, PRESSURE, SHOT, TRACK_DIST, VERDICTS, ZONE_LOW
+from ..shared import cut
 
 
 def _rate(a: Column | str, b: Column | str) -> Column:
@@ -22,13 +23,18 @@ def _rate(a: Column | str, b: Column | str) -> Column:
 
 
 def shot_order(boards: DataFrame) -> DataFrame:
-    """Each shot with its place in the end (from 1) and the shot before."""
+    """Each shot with its place in the end (from 1), the shot before, and the end's number of shots."""
     w = Window.partitionBy(*END).orderBy("shot_number")
-    return boards.select(*SHOT).distinct().withColumns({"place": F.row_number().over(w), "before": F.lag("shot_number").over(w)})
+    return boards.select(*SHOT).distinct().withColumns({"place": F.row_number().over(w), "before": F.lag("shot_number").over(w), "n_shots": F.count("*").over(Window.partitionBy(*END))})
+
+
+def placed(tracked: DataFrame, boards: DataFrame) -> DataFrame:
+    """Stones with their shot's place; a tracker that was asked for it has given it."""
+    return tracked if "place" in tracked.columns else tracked.join(shot_order(boards), SHOT)
 
 
 def mid_end(tracked: DataFrame, boards: DataFrame) -> DataFrame:
-    return tracked.join(shot_order(boards).where("place > 1").select(*SHOT), SHOT)
+    return placed(tracked, boards).where("place > 1").drop("place", "before", "n_shots")
 
 
 def displacement() -> Column:
@@ -38,18 +44,10 @@ def displacement() -> Column:
 
 def evaluate(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """New and spurious identity rates over mid-end shots, in one row."""
-    order = shot_order(boards)
-    per_shot = tracked.groupBy(*SHOT).agg(F.count("x").alias("n"), F.count_if(F.col("prev_x").isNull()).alias("new"))
-    joined = order.join(per_shot, SHOT, "left")
     mid = F.col("place") > 1
-    totals = joined.agg(
-        F.count_if(F.col("place") == 1).alias("total_ends"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_stone_appearances"),
-        F.coalesce(F.sum(F.when(mid, F.col("n"))), F.lit(0)).alias("occupied"),
-        F.coalesce(F.sum(F.when(mid, F.col("new"))), F.lit(0)).alias("new"),
-        F.count_if(mid).alias("shots"),
-    )
-    return totals.select(
+    shots = shot_order(boards).agg(F.count_if(F.col("place") == 1).alias("total_ends"), F.count_if(mid).alias("shots"))
+    stones = placed(tracked, boards).agg(F.count("x").alias("total_stone_appearances"), F.count(F.when(mid, F.col("x"))).alias("occupied"), F.count_if(mid & F.col("prev_x").isNull()).alias("new"))
+    return shots.crossJoin(stones).select(  # one row each
         "total_ends",
         "total_stone_appearances",
         _rate("new", "occupied").alias("new_stone_rate_mid_end"),
@@ -61,6 +59,7 @@ def evaluate(tracked: DataFrame, boards: DataFrame) -> DataFrame:
 def compare(a: DataFrame, b: DataFrame, boards: DataFrame, names: tuple[str, str] = ("greedy", "optimal")) -> DataFrame:
     """Agreement of two trackings on links, among slots that either links, and the rates of both."""
     keys = [*SHOT, "team", "slot"]
+    a, b = cut(a), cut(b)  # each is read twice
     left = mid_end(a, boards).select(*keys, F.col("prev_x").alias("ax"), F.col("prev_y").alias("ay"))
     right = b.select(*keys, F.col("prev_x").alias("bx"), F.col("prev_y").alias("by"))
     either = F.col("ax").isNotNull() | F.col("bx").isNotNull()
@@ -86,11 +85,10 @@ def displacement_distribution(tracked: DataFrame) -> DataFrame:
 
 
 def slot_pairs(tracked: DataFrame, boards: DataFrame) -> DataFrame:
-    """Stones of each slot on a shot and on the one before."""
-    keys = [*END, "team", "slot"]
-    now = tracked.join(shot_order(boards).where("before is not null").select(*SHOT, "before"), SHOT)
-    was = tracked.select(*keys, F.col("shot_number").alias("before"), F.col("stone_id").alias("before_id"))
-    return now.join(was, [*keys, "before"])
+    """Stones of each slot on a shot whose slot was held on the shot before, with the identity there."""
+    w = Window.partitionBy(*END, "team", "slot").orderBy("place")
+    pairs = placed(tracked, boards).withColumns({"before_id": F.lag("stone_id").over(w), "held": F.lag("place").over(w)})
+    return pairs.where("held = place - 1").drop("held")
 
 
 def id_continuity(tracked: DataFrame, boards: DataFrame) -> DataFrame:
@@ -102,30 +100,31 @@ def id_continuity(tracked: DataFrame, boards: DataFrame) -> DataFrame:
 
 def stone_continuity(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """Share of identities on a board that the next board still has, whatever their slots (an addition)."""
-    order = shot_order(boards)
-    now = tracked.select(*END, F.col("shot_number").alias("before"), "stone_id").distinct()
-    later = order.where("before is not null").select(*SHOT, "before")
-    at = now.join(later, [*END, "before"])
-    there = tracked.select(*SHOT, "stone_id", F.lit(1).alias("hit")).distinct()
-    return at.join(there, [*SHOT, "stone_id"], "left").agg(F.count("*").alias("total_stones"), F.count("hit").alias("kept"), _rate(F.count("hit"), F.count("*")).alias("stone_continuity_rate"))
+    seen = placed(tracked, boards).where("place < n_shots or place > 1").select(*END, "place", "n_shots", "stone_id").distinct()
+    after = F.lead("place").over(Window.partitionBy(*END, "stone_id").orderBy("place"))
+    at = seen.withColumn("hit", F.when(F.col("stone_id").isNotNull() & (after == F.col("place") + 1), 1)).where("place < n_shots")
+    return at.agg(F.count("*").alias("total_stones"), F.count("hit").alias("kept"), _rate(F.count("hit"), F.count("*")).alias("stone_continuity_rate"))
+
+
+#: Pairs of a board's slots whose stones changed places with each other.
+_SWAPS = """size(filter(flatten(transform(p, a -> transform(p, b ->
+  a.slot < b.slot and a.stone_id = b.before_id and b.stone_id = a.before_id and a.stone_id <> b.stone_id))), hit -> hit))"""
 
 
 def slot_swaps(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """Pairs of stones that changed slots with each other between two shots."""
-    p = slot_pairs(tracked, boards).where("stone_id is not null and before_id is not null").select(*SHOT, "team", "slot", "stone_id", "before_id")
-    q = p.select(*SHOT, "team", F.col("slot").alias("slot2"), F.col("stone_id").alias("stone2"), F.col("before_id").alias("before2"))
-    swaps = p.join(q, [*SHOT, "team"]).where("slot < slot2 and stone_id = before2 and stone2 = before_id and stone_id <> stone2").agg(F.count("*").alias("swap_events"))
+    known = slot_pairs(tracked, boards).where("stone_id is not null and before_id is not null")
+    board = known.groupBy(*SHOT, "team").agg(F.collect_list(F.struct("slot", "stone_id", "before_id")).alias("p"))
+    swaps = board.agg(F.coalesce(F.sum(F.expr(_SWAPS)), F.lit(0)).cast("bigint").alias("swap_events"))
     pairs = shot_order(boards).agg(F.count("before").alias("total_shot_pairs"))
     return pairs.crossJoin(swaps).withColumn("slot_swap_rate", _rate("swap_events", "total_shot_pairs"))
 
 
 def cap_pressure(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """Share of mid-end new stones whose nearest stone before lies just out of reach."""
-    order = shot_order(boards).where("before is not null").select(*SHOT, "before")
-    new = tracked.where("prev_x is null").join(order, SHOT)
-    was = tracked.select(*END, F.col("shot_number").alias("before"), "team", F.col("x").alias("px"), F.col("y").alias("py"))
-    d = F.sqrt((F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
-    near = new.join(was, [*END, "before", "team"], "left").groupBy(*SHOT, "team", "slot").agg(F.min(d).alias("d"))
+    last = Window.partitionBy(*END, "team").orderBy("place").rangeBetween(-1, -1)
+    new = placed(tracked, boards).withColumn("was", F.collect_list(F.struct("x", "y")).over(last)).where("prev_x is null and place > 1")
+    near = new.select(F.array_min(F.transform("was", lambda s: F.sqrt((F.col("x") - s.x) * (F.col("x") - s.x) + (F.col("y") - s.y) * (F.col("y") - s.y)))).alias("d"))
     close = (F.col("d") >= TRACK_DIST) & (F.col("d") < TRACK_DIST + PRESSURE)
     return near.agg(F.count("*").alias("total_new_id_events"), F.count_if(close).alias("cap_pressure_events"), _rate(F.count_if(close), F.count("*")).alias("cap_pressure_rate"))
 
@@ -162,8 +161,11 @@ def new_stones(tracked: DataFrame, boards: DataFrame) -> DataFrame:
 
 def delivery_anomaly(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """Share of mid-end shots without exactly one new stone."""
-    odd = F.count_if(F.col("n_new") != 1)
-    return new_stones(tracked, boards).agg(F.count("*").alias("total_mid_shots"), odd.alias("anomaly_shots"), _rate(odd, F.count("*")).alias("delivery_anomaly_rate"))
+    new = placed(tracked, boards).where("place > 1").groupBy(*SHOT).agg(F.count_if(F.col("prev_x").isNull()).alias("n"))
+    single = new.agg(F.count_if(F.col("n") == 1).alias("single"))
+    shots = shot_order(boards).agg(F.count("before").alias("total_mid_shots"))
+    odd = F.col("total_mid_shots") - F.col("single")
+    return shots.crossJoin(single).select("total_mid_shots", odd.alias("anomaly_shots"), _rate(odd, "total_mid_shots").alias("delivery_anomaly_rate"))
 
 
 def delivery_anomaly_examples(tracked: DataFrame, boards: DataFrame, n: int = 5) -> DataFrame:
@@ -171,7 +173,8 @@ def delivery_anomaly_examples(tracked: DataFrame, boards: DataFrame, n: int = 5)
 
 
 def all_metrics(tracked: DataFrame, boards: DataFrame) -> DataFrame:
-    """All metrics in one row."""
+    """All metrics in one row; the tracked table, which each of them reads, is made once."""
+    tracked = cut(tracked)
     rows = [
         evaluate(tracked, boards),
         displacement_distribution(tracked),
@@ -197,13 +200,12 @@ def verdicts(metrics: DataFrame) -> DataFrame:
 
 def fragmentation(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     """Identities used over the largest number in play, by end and team, and new-stone rates."""
-    order = shot_order(boards)
-    shots = order.groupBy(*END).agg(F.count("*").alias("n_shots"))
-    at = tracked.join(order.select(*SHOT, "place"), SHOT)
-    peak = at.groupBy(*SHOT, "team").agg(F.count("*").alias("n")).groupBy(*END, "team").agg(F.max("n").alias("min_ids"))
+    at = placed(tracked, boards).withColumn("n", F.count("*").over(Window.partitionBy(*SHOT, "team")))
     mid = F.col("place") > 1
-    used = at.groupBy(*END, "team").agg(F.count_distinct("stone_id").alias("ids_assigned"), F.count_if(mid).alias("total_mid"), F.count_if(mid & F.col("prev_x").isNull()).alias("new_mid"))
-    out = used.join(peak, [*END, "team"]).join(shots, END)
+    out = at.groupBy(*END, "team").agg(
+        F.size(F.collect_set("stone_id")).cast("bigint").alias("ids_assigned"), F.count_if(mid).alias("total_mid"), F.count_if(mid & F.col("prev_x").isNull()).alias("new_mid"),
+        F.max("n").alias("min_ids"), F.max("n_shots").alias("n_shots"),
+    )
     out = out.withColumns({"frag": _rate("ids_assigned", "min_ids"), "new_rate": _rate("new_mid", "total_mid")})
     f = F.col("frag")
     bucket = F.when(f <= 1.05, "1.0 (perfect)").when(f <= 1.5, "1.01-1.5").when(f <= 2.0, "1.51-2.0").when(f <= 3.0, "2.01-3.0").otherwise(">3.0")
@@ -271,6 +273,7 @@ def displacement_stats(tracked: DataFrame) -> DataFrame:
 
 def run_checks(tracked: DataFrame) -> DataFrame:
     """(check, n, verdict) for all checks and, last, the overall one: FAIL, PASS WITH WARNINGS or PASS."""
+    tracked = cut(tracked)
     parts = [
         ("first_shot_invariant", check_first_shot(tracked), F.coalesce(F.sum("n_violations"), F.lit(0)), "FAIL"),
         ("id_uniqueness", check_id_uniqueness(tracked), F.count("*"), "FAIL"),

@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import END, GHOST_DIST, SHOT, TRACK_DIST
+from ..constants import END, GHOST_DIST, MAX_STONES, SHOT, TRACK_DIST
 
+#: What is told of a stone's shot.
+ORDER = ("place", "before", "n_shots")
 _STONE = "struct<slot:int,x:double,y:double,id:bigint,px:double,py:double>"
-_PLACED = "struct<shot_number:int,team:int,slot:int,x:double,y:double,stone_id:bigint,prev_x:double,prev_y:double>"
+_PLACED = "struct<shot_number:int,team:int,slot:int,x:double,y:double,stone_id:bigint,prev_x:double,prev_y:double,place:int,before:int,n_shots:bigint>"
 
 # Pairs in reach by (distance, previous, current); the nearest free pair wins.
 _GREEDY = f"""
@@ -46,7 +48,7 @@ aggregate(shots,
         aggregate(array({_NEW_STATE}), s1, (s2, n) -> named_struct(
           'p1', if(team = 1, n, s2.p1), 'p2', if(team = 2, n, s2.p2),
           'nxt', s2.nxt + size(n) - size(m),
-          'out', concat(s2.out, transform(n, z -> named_struct('shot_number', sh.shot_number, 'team', team, 'slot', z.slot, 'x', z.x, 'y', z.y, 'stone_id', z.id, 'prev_x', z.px, 'prev_y', z.py)))))))),
+          'out', concat(s2.out, transform(n, z -> named_struct('shot_number', sh.shot_number, 'team', team, 'slot', z.slot, 'x', z.x, 'y', z.y, 'stone_id', z.id, 'prev_x', z.px, 'prev_y', z.py, 'place', sh.place, 'before', sh.before, 'n_shots', sh.n_shots)))))))),
   st -> st.out)
 """
 
@@ -62,7 +64,9 @@ def ends_of(stones: DataFrame, boards: DataFrame) -> DataFrame:
     rows = stones.select(*SHOT, "team", F.struct("slot", "x", "y").alias("s")).unionByName(boards.select(*SHOT), allowMissingColumns=True).where(keyed)
     rows = rows.repartition(*END)
     board = rows.groupBy(*SHOT).agg(*(F.array_sort(F.collect_list(F.when(F.col("team") == t, F.col("s")))).alias(f"t{t}") for t in (1, 2)))
-    return board.groupBy(*END).agg(F.array_sort(F.collect_list(F.struct("shot_number", "t1", "t2"))).alias("shots"))
+    ends = board.groupBy(*END).agg(F.array_sort(F.collect_list(F.struct("shot_number", "t1", "t2"))).alias("shots"))
+    order = "transform(shots, (s, i) -> struct(s.shot_number, s.t1, s.t2, i + 1 as place, get(shots, i - 1).shot_number as before, cast(size(shots) as bigint) as n_shots))"
+    return ends.withColumn("shots", F.expr(order))
 
 
 def track_greedy(stones: DataFrame, boards: DataFrame) -> DataFrame:
@@ -73,9 +77,12 @@ def track_greedy(stones: DataFrame, boards: DataFrame) -> DataFrame:
 def best_matching(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
     """Most pairs under ``limit``, and of those the least total distance.
 
-    Exact, by dynamic programming over the subsets of columns (at most 8).
+    Exact, by dynamic programming over the subsets of columns, of which there
+    are few: a team has eight stones.
     """
     n, m = cost.shape
+    if m > MAX_STONES:
+        raise ValueError(f"more than {MAX_STONES} stones of a team")
     best = {0: (0, 0.0, ())}
     for i in range(n):
         new = dict(best)
@@ -91,8 +98,8 @@ def best_matching(cost: np.ndarray, limit: float) -> list[tuple[int, int]]:
 
 
 def _optimal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [*END, "shot_number", "team", "slot", "x", "y", "stone_id", "prev_x", "prev_y"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.float64()]
+    names = [*END, "shot_number", "team", "slot", "x", "y", "stone_id", "prev_x", "prev_y", *ORDER]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int64()]
     for batch in batches:
         rows = []
         for end in batch.to_pylist():
@@ -113,7 +120,7 @@ def _optimal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             sid, px, py = nxt, None, None
                             nxt += 1
                         new.append((sid, s["x"], s["y"]))
-                        rows.append((*(end[k] for k in END), shot["shot_number"], team, s["slot"], s["x"], s["y"], sid, px, py))
+                        rows.append((*(end[k] for k in END), shot["shot_number"], team, s["slot"], s["x"], s["y"], sid, px, py, *(shot[k] for k in ORDER)))
                     state[team] = new
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -121,7 +128,7 @@ def _optimal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def track_optimal(stones: DataFrame, boards: DataFrame) -> DataFrame:
     """Identities by the matching of most pairs and least total distance."""
-    schema = "event_id bigint, match_id bigint, end_number int, shot_number int, team int, slot int, x double, y double, stone_id bigint, prev_x double, prev_y double"
+    schema = "event_id bigint, match_id bigint, end_number int, shot_number int, team int, slot int, x double, y double, stone_id bigint, prev_x double, prev_y double, place int, before int, n_shots bigint"
     ends = ends_of(stones, boards)
     return ends.select(F.col("event_id").cast("bigint").alias("event_id"), F.col("match_id").cast("bigint").alias("match_id"), F.col("end_number").cast("int").alias("end_number"), "shots").mapInArrow(_optimal, schema)
 
@@ -136,11 +143,17 @@ def flag_delivered(tracked: DataFrame) -> DataFrame:
     return tracked.withColumn("is_shot_stone", F.when(told, F.col("prev_x").isNull().cast("double")))
 
 
-def track(stones: DataFrame, boards: DataFrame, method: str = "greedy") -> DataFrame:
-    """Tracked stones with delivered flags; previous places are rounded to three decimals."""
+def track(stones: DataFrame, boards: DataFrame, method: str = "greedy", order: bool = False) -> DataFrame:
+    """Tracked stones with delivered flags; previous places are rounded to three decimals.
+
+    With ``order`` they have their shot's place in the end, the shot before and
+    the end's number of shots too, which metrics would else join.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown tracking method {method!r}; known: {sorted(METHODS)}")
     found = METHODS[method](stones, boards)
+    if not order:
+        found = found.drop(*ORDER)
     return flag_delivered(found.withColumns({c: F.round(c, 3) for c in ("prev_x", "prev_y")}))
 
 
