@@ -408,12 +408,43 @@ def split_counts(v):
     return graph.split_counts(graph.assign_splits(v.shots, v.events))
 
 
-@query(f"""select f.{KEYS.replace(', ', ', f.')}, {_SPLIT} as split, cast(coalesce(n.n, 0) as integer) as n_nodes, cast(coalesce(e2.n, 0) as integer) as n_edges
-from ({_FILTERED}) f left join v_events e using (event_id) left join (select {KEYS}, count(*) as n from v_known group by all) n using ({KEYS}) left join (select {KEYS}, count(*) as n from {_EDGES} group by all) e2 using ({KEYS})""")
+def _numbers_sql(cells: list[str]) -> str:
+    """Numbers as floats, to four places, in one text."""
+    return "concat_ws(',', " + ", ".join(f"cast(round(cast(cast({c} as float) as double) * 10000) as bigint)" for c in cells) + ")"
+
+
+def _numbers(row):
+    return F.array_join(F.transform(row, lambda v: F.round(v.cast("double") * 10000).cast("bigint").cast("string")), ",")
+
+
+_NODE_TEXT = _numbers_sql(["x", "y", "dist", "angle_sin", "angle_cos", "team", "dx", "dy", "is_new", "is_shot_stone"])
+
+
+@query(f"""with kept as materialized (select f.*, lag(shot_number) over (partition by event_id, match_id, end_number order by shot_number) as before from ({_FILTERED}) f),
+node as materialized (select * from {_NODES}),
+board as (select {KEYS}, string_agg({_NODE_TEXT}, ';' order by node) as x, count(*) as n from node group by all),
+edge as (select {KEYS}, string_agg(concat(src, '>', dst, ':', {_numbers_sql(["rel_x", "rel_y", "dist"])}), ';' order by src, dst) as e from {_EDGES} group by all),
+link as (select k.{KEYS.replace(', ', ', k.')}, string_agg(concat(a.src, '>', b.node), ';' order by b.node) as e from kept k join node b using ({KEYS})
+  join (select event_id, match_id, end_number, shot_number as before, stone_id, max(node) as src from node where stone_id is not null group by all) a
+    on a.event_id = k.event_id and a.match_id = k.match_id and a.end_number = k.end_number and a.before = k.before and a.stone_id = b.stone_id group by all)
+select k.{KEYS.replace(', ', ', k.')}, {_SPLIT} as split, coalesce(b.x, '') as x_t, coalesce(w.x, '') as x_prev, coalesce(e2.e, '') as edges_t, coalesce(l.e, '') as edges_temporal,
+  {_numbers_sql(["cast(k.shot_number as double) / 16", "cast(k.end_number as double) / 10", "k.team1_stones_in_play", "k.team2_stones_in_play", "coalesce(k.team_code = q.hammer_team_code, false)", "coalesce(q.team1_score_before - q.team2_score_before, 0)", "coalesce(k.team_code = q.team1_code, false)"])} as u
+from kept k left join v_events e using (event_id) left join board b using ({KEYS}) left join edge e2 using ({KEYS}) left join link l using ({KEYS})
+left join board w on w.event_id = k.event_id and w.match_id = k.match_id and w.end_number = k.end_number and w.shot_number = k.before
+left join v_known_ends q on q.event_id = k.event_id and q.match_id = k.match_id and q.end_number = k.end_number""")
 def graph_samples(v):
+    """Whole samples: nodes, edges of both kinds, the board before and the graph's features, as text."""
     shots = features.load_and_filter(features.enrich(v.counted, v.known_ends).drop("team1_code", "team2_code"), v.known_ends, v.events)
     s = graph.samples(shots, v.known, v.events)
-    return s.select(*SHOT, "split", F.size("x_t").alias("n_nodes"), F.coalesce(F.size("edges_t"), F.lit(0)).alias("n_edges"))
+
+    def arrow(e):
+        return F.concat(e.src.cast("string"), F.lit(">"), e.dst.cast("string"))
+
+    return s.select(
+        *SHOT, "split", *(F.array_join(F.transform(c, _numbers), ";").alias(c) for c in ("x_t", "x_prev")),
+        F.array_join(F.transform("edges_t", lambda e: F.concat(arrow(e), F.lit(":"), _numbers(F.array(e.rel_x, e.rel_y, e.dist)))), ";").alias("edges_t"),
+        F.array_join(F.transform("edges_temporal", arrow), ";").alias("edges_temporal"), _numbers(F.col("u")).alias("u"),
+    )
 
 
 # ---- pages and text ---------------------------------------------------------
