@@ -25,6 +25,12 @@ HOUSE_CX, HOUSE_CY, HOUSE_RADIUS = 161.0, 171.0, 112.0
 AREA_MIN, AREA_MAX, FILL_RATIO, GT_AREA_FACTOR = 80.0, 600.0, 0.45, 0.5
 PLAY_TOP, PLAY_BOTTOM = 15.0, 0.93
 RADIUS_BAND = 0.25
+RING_PIXELS = 6
+CROP_HEIGHT = 686.0
+#: Hues (0-180) of stones: half a window, saturation and value of a pixel that counts, pixels of an indicator.
+HUE_HALF, HUE_SATURATION, HUE_VALUE, HUE_PIXELS = 12.0, 60.0, 60.0, 10
+#: Windows of hues where a page has no indicator.
+STATIC_HUES = {("red", 1): (0, 10), ("red", 2): (160, 180), ("yellow", 1): (10, 35)}
 CALIBRATION_DEVIATION, SUSPECT_DIST = 0.10, 1.5
 SCALE = 300 / 72
 

@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import AREA_MAX, AREA_MIN, DEDUP_RADIUS, FILL_RATIO, HOUSE_RADIUS, MATCH_RADIUS, RADIUS_BAND, REGRESSION, SHOT
+from ..constants import (
+    AREA_MAX, AREA_MIN, DEDUP_RADIUS, FILL_RATIO, GT_AREA_FACTOR, HOUSE_CX, HOUSE_CY, HOUSE_RADIUS, HUE_HALF, HUE_PIXELS, HUE_SATURATION, HUE_VALUE,
+    MATCH_RADIUS, PLAY_TOP, RADIUS_BAND, REGRESSION, RING_PIXELS, SHOT, STATIC_HUES,
+)
 from ..functions.geometry import polar, to_board
 
 COLOUR = [*SHOT, "colour"]
 
 
-def classify_blobs(blobs: DataFrame, house: DataFrame) -> DataFrame:
+def classify_blobs(blobs: DataFrame, house: DataFrame, permissive: bool = False) -> DataFrame:
     """Blobs of fitting area with their board place and whether they are outlines (ghosts).
 
-    The area window grows with the square of the house's radius.
+    The area window grows with the square of the house's radius.  ``permissive``
+    is the rule of ground truth: from half the least area, without a largest
+    one, and without the strip at the top.
     """
     b = blobs.join(house, SHOT)
     scale = (F.col("radius") / HOUSE_RADIUS) * (F.col("radius") / HOUSE_RADIUS)
-    b = b.where((F.col("area") > AREA_MIN * scale) & (F.col("area") < AREA_MAX * scale))
+    if permissive:
+        b = b.where((F.col("area") >= GT_AREA_FACTOR * AREA_MIN * scale) & (F.col("sy") >= PLAY_TOP))
+    else:
+        b = b.where((F.col("area") > AREA_MIN * scale) & (F.col("area") < AREA_MAX * scale))
     x, y = to_board(F.col("sx"), F.col("sy"), F.col("orientation"), F.col("cx"), F.col("cy"), F.col("radius"))
     b = b.withColumns({"x": x, "y": y})
     dist, angle = polar(F.col("x"), F.col("y"))
@@ -136,20 +144,60 @@ def merge_baseline(current: DataFrame, baseline: DataFrame) -> DataFrame:
     return c.join(b, "filename", "full_outer").select("filename", *(F.coalesce(F.col(f"c.{x}"), F.col(f"b.{x}")).alias(x) for x in cols))
 
 
-def house_from_pixels(ring: DataFrame, crop_height: Column) -> DataFrame:
-    """House centre, radius and orientation of each shot from a relation of ring pixels (keys, px, py).
+def calibrate_house(crops: DataFrame, ring: DataFrame, circles: DataFrame) -> DataFrame:
+    """House centre, radius and orientation of each crop, and what they come from.
 
-    Fewer than six pixels, or a radius a quarter off the nominal, give none.
+    ``crops`` has the keys and the crop's height h; ``ring`` pixels of a mask
+    (keys, mask 'narrow' or 'broad', px, py); ``circles`` candidates (keys, cx,
+    cy, r).  The narrow mask counts if it has ``RING_PIXELS``, else the broad
+    one, else the circle nearest to the nominal one, at the top or mirrored at
+    the bottom, else the nominal values.  A radius a quarter off is replaced by
+    the nominal one.
     """
-    c = ring.groupBy(*SHOT).agg(F.count("*").alias("n"), F.avg("px").alias("cx"), F.avg("py").alias("cy"), F.max(crop_height).alias("h"))
-    d = ring.join(c, SHOT).withColumn("r", F.hypot(F.col("px") - F.col("cx"), F.col("py") - F.col("cy")))
-    out = d.groupBy(*SHOT, "n", "cx", "cy", "h").agg(F.median("r").alias("radius"))
-    good = (F.col("n") >= 6) & (F.abs(F.col("radius") / HOUSE_RADIUS - 1) <= RADIUS_BAND)
-    return out.where(good).select(*SHOT, "cx", "cy", "radius", F.when(F.col("cy") <= F.col("h") / 2, "top").otherwise("bottom").alias("orientation"))
-
-
-def hue_windows(pixels: DataFrame, tolerance: int = 12, period: int = 180) -> DataFrame:
-    """Median hue of each (page, colour) and its window; hues near the wrap-around are unrolled first."""
-    h = F.when((F.col("colour") == "red") & (F.col("hue") < period / 2), F.col("hue") + period).otherwise(F.col("hue"))
-    m = pixels.groupBy("page_id", "colour").agg(F.median(h).alias("hue"))
-    return m.select("page_id", "colour", F.pmod("hue", F.lit(period)).alias("hue"), F.pmod(F.col("hue") - tolerance, F.lit(period)).alias("low"), F.pmod(F.col("hue") + tolerance, F.lit(period)).alias("high"))
+    mean = ring.groupBy(*SHOT, "mask").agg(F.count("*").alias("n"), F.avg("px").alias("cx"), F.avg("py").alias("cy")).where(F.col("n") >= RING_PIXELS)
+    far = ring.join(mean, [*SHOT, "mask"]).withColumn("r", F.hypot(F.col("px") - F.col("cx"), F.col("py") - F.col("cy")))
+    masks = far.groupBy(*SHOT, "mask", "cx", "cy").agg(F.median("r").alias("r"))
+    by_mask = masks.groupBy(*SHOT).agg(*(F.max(F.when(F.col("mask") == m, F.struct("cx", "cy", "r"))).alias(m) for m in ("narrow", "broad")))
+    mirrored = F.least(F.abs(F.col("cy") - HOUSE_CY), F.abs(F.col("cy") - (F.col("h") - HOUSE_CY)))
+    score = F.abs(F.col("r") - HOUSE_RADIUS) + 0.25 * F.abs(F.col("cx") - HOUSE_CX) + 0.25 * mirrored
+    nearest = circles.join(crops.select(*SHOT, "h"), SHOT).groupBy(*SHOT).agg(F.min(F.struct(score.alias("score"), "cx", "cy", "r")).alias("circle"))
+    out = crops.select(*SHOT, "h").join(by_mask, SHOT, "left").join(nearest, SHOT, "left")
+    none = F.struct(F.lit(HOUSE_CX).alias("cx"), F.lit(HOUSE_CY).alias("cy"), F.lit(HOUSE_RADIUS).alias("r"))
+    circle = F.when(F.col("circle").isNotNull(), F.struct(F.col("circle.cx"), F.col("circle.cy"), F.col("circle.r")))
+    found = F.coalesce("narrow", "broad", circle, none)
+    source = F.when(F.col("narrow").isNotNull(), "narrow").when(F.col("broad").isNotNull(), "broad").when(F.col("circle").isNotNull(), "circle").otherwise("fixed")
+    out = out.select(*SHOT, "h", found.alias("f"), source.alias("source"))
+    radius = F.when(F.abs(F.col("f.r") / HOUSE_RADIUS - 1) <= RADIUS_BAND, F.col("f.r")).otherwise(F.lit(HOUSE_RADIUS))
+    side = F.when((F.col("source") == "fixed") | (F.col("f.cy") <= F.col("h") / 2), "top").otherwise("bottom")
+    return out.select(*SHOT, F.col("f.cx").alias("cx"), F.col("f.cy").alias("cy"), radius.alias("radius"), side.alias("orientation"), "source")
+
+
+def hue_windows(pages: DataFrame, pixels: DataFrame) -> DataFrame:
+    """(page_id, colour, part, low, high): windows of hues of each page's stones, from its indicators' pixels.
+
+    ``pixels`` has page_id, indicator, hue (0-180), sat, val.  An indicator with
+    enough saturated and bright pixels is yellow or red by their median hue; a
+    page's window lies around the median of its indicators.  Red has two parts,
+    as its hues wrap around.  A colour without indicators has its fixed windows.
+    """
+    good = pixels.where((F.col("sat") >= HUE_SATURATION) & (F.col("val") >= HUE_VALUE))
+    one = good.groupBy("page_id", "indicator").agg(F.count("*").alias("n"), F.median("hue").alias("m")).where(F.col("n") >= HUE_PIXELS)
+    colour = F.when(F.col("m").between(10, 50), "yellow").when((F.col("m") <= 15) | (F.col("m") >= 165), "red")
+    mid = one.withColumn("colour", colour).where("colour is not null").groupBy("page_id").pivot("colour", ["red", "yellow"]).agg(F.median("m"))
+    j = pages.select("page_id").join(mid, "page_id", "left")
+
+    def edge(c: str, sign: int) -> Column:
+        return (F.col(c) + sign * HUE_HALF).cast("int")
+
+    def window(c: str, part: int, low: Column, high: Column) -> Column:
+        fixed = STATIC_HUES[c, part]
+        return F.struct(F.lit(c).alias("colour"), F.lit(part).alias("part"), F.coalesce(low, F.lit(fixed[0])).alias("low"), F.coalesce(high, F.lit(fixed[1])).alias("high"))
+
+    low, high = edge("red", -1), edge("red", 1)
+    known = F.col("red").isNotNull()
+    rows = [
+        window("red", 1, F.when(known, F.greatest(F.lit(0), low)), F.when(known, F.least(F.lit(180), high))),
+        window("red", 2, F.when(low < 0, 180 + low).when(high > 180, 0), F.when(low < 0, 180).when(high > 180, high - 180)),
+        window("yellow", 1, F.when(F.col("yellow").isNotNull(), F.greatest(F.lit(0), edge("yellow", -1))), F.when(F.col("yellow").isNotNull(), F.least(F.lit(180), edge("yellow", 1)))),
+    ]
+    return j.select("page_id", F.inline(F.array(*rows)))

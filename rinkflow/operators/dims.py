@@ -48,6 +48,18 @@ def rosters(players: DataFrame, names: DataFrame, width: int = 5) -> DataFrame:
     return out.select("event_id", "team_code", "team_name", *(F.get("roster", F.lit(i)).alias(f"player{i + 1}_name") for i in range(width)), F.size("roster").alias("n_players"), "roster")
 
 
+def resume_players(known: DataFrame, shots: DataFrame) -> DataFrame:
+    """A stored player table with the players of new shots, numbered after the largest known id."""
+    new = shots.join(known.select("event_id", "team_code", "player_name"), ["event_id", "team_code", "player_name"], "left_anti")
+    last = known.agg(F.coalesce(F.max("player_id"), F.lit(0))).first()[0]
+    return known.select("player_id", "event_id", "team_code", "player_name").unionByName(player_ids(new, last))
+
+
+def round_profile(matches: DataFrame, n: int = 10) -> DataFrame:
+    """The commonest rounds with their number of matches; ties by name."""
+    return matches.groupBy("round").agg(F.count("*").alias("n_matches")).orderBy(F.desc("n_matches"), "round").limit(n)
+
+
 def player_ids(shots: DataFrame, offset: int = 0) -> DataFrame:
     """Players numbered in the order in which they first appear.
 
@@ -102,6 +114,27 @@ def quality_rules(ends: DataFrame, shots: DataFrame) -> DataFrame:
     return by_end.unionByName(s.agg(F.array(*cells).alias("r")).select(F.inline("r")))
 
 
+def running_score(ends: DataFrame) -> DataFrame:
+    """Scores before and after each end, by the points of the ends so far; conceded ends add none."""
+    w = Window.partitionBy("event_id", "match_id").orderBy("end_number").rowsBetween(Window.unboundedPreceding, 0)
+    out = ends.select(*END, *(F.coalesce(F.col(f"team{t}_score_this_end").try_cast("bigint"), F.lit(0).cast("bigint")).alias(f"p{t}") for t in (1, 2)))
+    return out.select(*END, *(c for t in (1, 2) for c in ((F.sum(f"p{t}").over(w) - F.col(f"p{t}")).alias(f"team{t}_before"), F.sum(f"p{t}").over(w).alias(f"team{t}_after"))))
+
+
+def diagnose(events: DataFrame, pages: DataFrame, images: DataFrame, house: DataFrame, stones: DataFrame) -> DataFrame:
+    """Calibration status of every event, by its first shot page: error, no_shot_pages, no_shot_images, or ``calibration_status``.
+
+    ``pages`` has event_id, page_idx, text, error (why a document couldn't be
+    read, else null); ``images`` event_id, page_idx and boxes.
+    """
+    shot = F.col("text").contains("Game - Shot by Shot")
+    p = pages.groupBy("event_id").agg(F.min(F.when(shot, F.col("page_idx"))).alias("page_idx"), F.max("error").alias("error"))
+    n = shot_images(images).groupBy("event_id", "page_idx").agg(F.count("*").alias("n_images"))
+    out = events.select("event_id").join(p, "event_id", "left").join(n, ["event_id", "page_idx"], "left").join(calibration_status(house, stones), "event_id", "left")
+    status = F.when(F.col("error").isNotNull(), "error").when(F.col("page_idx").isNull(), "no_shot_pages").when(F.coalesce("n_images", F.lit(0)) == 0, "no_shot_images").otherwise(F.coalesce("status", F.lit("ok")))
+    return out.select("event_id", status.alias("status"), "page_idx", F.coalesce("n_images", F.lit(0)).alias("n_images"), "error")
+
+
 def calibration_status(house: DataFrame, stones: DataFrame) -> DataFrame:
     """Per event: radius_deviation, suspect_stones or ok."""
     r = house.groupBy("event_id").agg(F.median("radius").alias("radius"))
@@ -122,6 +155,12 @@ def shot_images(images: DataFrame) -> DataFrame:
     return images.where("x1 - x0 > 50 and bottom - top > 100")
 
 
+def indicator_images(images: DataFrame) -> DataFrame:
+    """Boxes that can be team indicators: small and nearly square."""
+    w, h = F.col("x1") - F.col("x0"), F.col("bottom") - F.col("top")
+    return images.where((w > 15) & (w < 55) & (h > 15) & (h < 55) & (F.abs(w - h) < 10))
+
+
 def crop_boxes(images: DataFrame) -> DataFrame:
     """Pixel boxes at 300 dpi of boxes in points."""
     return images.withColumns({f"{c}_px": (F.col(c) * SCALE).cast("int") for c in ("x0", "top", "x1", "bottom")})

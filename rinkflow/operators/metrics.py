@@ -212,6 +212,16 @@ def fragmentation(tracked: DataFrame, boards: DataFrame) -> DataFrame:
     return out.withColumn("frag_bucket", bucket)
 
 
+def describe_fragmentation(frag: DataFrame) -> DataFrame:
+    """(measure, key, n, value): count, mean, deviation and quartiles of ``frag``, buckets, and means by end and by length."""
+    one = frag.agg(F.count("frag").alias("n"), F.avg("frag").alias("mean"), F.stddev_samp("frag").alias("std"), F.min("frag").alias("min"), F.percentile("frag", F.lit(0.25)).alias("p25"), F.median("frag").alias("p50"), F.percentile("frag", F.lit(0.75)).alias("p75"), F.max("frag").alias("max"))
+    cells = F.array(*(F.struct(F.lit("describe").alias("measure"), F.lit(c).alias("key"), F.col("n"), F.col(c).alias("value")) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")))
+    out = one.select(F.inline(cells))
+    for name, key in (("bucket", "frag_bucket"), ("end_number", "end_number"), ("n_shots", "n_shots")):
+        out = out.unionByName(frag.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n"), F.avg("frag").alias("value")).select(F.lit(name).alias("measure"), "key", "n", "value"))
+    return out
+
+
 def worst_fragmentation(frag: DataFrame, n: int = 20) -> DataFrame:
     """The ends with most identities for their stones, above three."""
     return frag.where("frag > 3").orderBy(F.desc("frag"), *END, "team").limit(n)

@@ -125,6 +125,55 @@ VIEWS = {
         select concat('book', cast(n_nationkey as string), '.pdf') as filename, cast(9400 + (n_nationkey * 53) % 600 as double) / cast(100 as double) as f1,
                cast(8800 + (n_nationkey * 97) % 1200 as double) / cast(100 as double) as ghost_recall, cast((n_nationkey * 7) % 60 as double) / cast(1000 as double) as pos_err_p95_norm, cast(n_nationkey + 1 as bigint) as ends_evaluated
         from {nation} where n_nationkey % 7 <> 3""",
+    # result pages: a book of men and, for some, one of women; of two summaries the last counts
+    "v_link_pages": """
+        select event_id as page_id, concat('<html><body><p><a href="index.html">home</a></p><table class="t" id="SearchTable"><tr><th>Name</th></tr><tr"><td class="n"><b>', event_name, '</b>&nbsp;</td><td>', gender, '</td><td>-</td><td>',
+                 '<a title="Men&#39;s results" href="files/ResultsBook_', cast(event_id as string), 'm.pdf"><img alt="x" src="img/pdf_m.png"></a>',
+                 case when event_id % 2 = 0 then concat('<a href="https://other.example/ResultBook_', cast(event_id as string), 'w.pdf"><img src="img/pdf_w.png"></a>') else '' end,
+                 '<a href="files/Programme.pdf" title="Men">p</a></td><td>',
+                 case when event_id % 3 = 0 then '' else concat('<a title="Men" href="files/ResultsSummary_', cast(event_id as string), 'a.pdf">s</a><a href="files/ResultSummary_', cast(event_id as string), 'b.pdf" title="Men">s</a>') end,
+                 '</td></tr><tr><td>short</td><td>row</td></tr></table></body></html>') as html
+        from v_events""",
+    "v_boxes": """
+        select okey as page_id, shot_number as image_id, event_id, cast(s % 50 as double) as x0, cast(s % 50 + 5 + p % 110 as double) as x1, cast(p % 30 as double) as top, cast(p % 30 + 5 + case when p % 3 = 0 then p % 110 else s * 7 % 160 end as double) as bottom
+        from v_shots""",
+    "v_grid": """
+        select okey as page_id, cast(shot_number - 1 as int) as shot, cast(20 + (shot_number - 1) % 6 * 90 as double) as x0, cast(90 + (shot_number - 1) % 6 * 90 as double) as x1,
+               cast(150 + 200 * case when shot_number <= 6 then 0 when shot_number <= 12 then 1 else 2 end as double) as bottom, p, s
+        from v_shots""",
+    # words under a shot's picture: names up to 6 below, types up to 25 below, noise beyond
+    "v_words": """
+        select page_id, cast(shot * 20 + k as int) as word_no, x0 + dx as x0, bottom + dy as top, text
+        from (select page_id, shot, x0, bottom, 1 as k, cast(2 as double) as dx, cast(-2 as double) as dy, concat('T', cast(s % 97 as string), ':') as text from v_grid
+              union all select page_id, shot, x0, bottom, 2, cast(20 as double), cast(1 as double), 'PLAYER' from v_grid
+              union all select page_id, shot, x0, bottom, 3, cast(75 as double), cast(6 as double), concat('N', cast(p % 5 as string)) from v_grid
+              union all select page_id, shot, x0, bottom, 4, cast(-5 as double), cast(7 as double), case p % 4 when 0 then 'Draw' when 1 then 'Take-out' when 2 then 'Hit' else 'Through' end from v_grid
+              union all select page_id, shot, x0, bottom, 5, cast(10 as double), cast(8 as double), 'and' from v_grid where p % 4 = 2
+              union all select page_id, shot, x0, bottom, 6, cast(20 as double), cast(8 as double), 'Roll' from v_grid where p % 4 = 2
+              union all select page_id, shot, x0, bottom, 7, cast(30 as double), cast(9 as double), 'x' from v_grid where p % 5 = 0
+              union all select page_id, shot, x0, bottom, 8, cast(40 as double), cast(20 as double), case s % 3 when 0 then '↺' when 1 then '↻' else '-' end from v_grid where s % 7 <> 0
+              union all select page_id, shot, x0, bottom, 9, cast(50 as double), cast(25 as double), concat(cast(s % 21 * 5 as string), '%') from v_grid where p % 11 <> 0
+              union all select page_id, shot, x0, bottom, 10, cast(50 as double), cast(26 as double), 'NOISE' from v_grid
+              union all select page_id, shot, x0, bottom, 11, cast(80 as double), cast(1 as double), 'BESIDE' from v_grid) w""",
+    # pixels of the ring: a good narrow mask, too few of them, none, none and no circle, and a wrong radius
+    "v_crops": """
+        select event_id, match_id, end_number, shot_number, cast(686 as double) as h, cast(okey % 5 as int) as kind,
+               cast(161 + okey % 7 as double) as cx, cast(case when okey % 2 = 0 then 171 else 515 end as double) as cy, cast(100 + p % 25 as double) as r
+        from v_shots""",
+    "v_ring": """
+        select event_id, match_id, end_number, shot_number, mask, cx + r * ux / cast(10 as double) as px, cy + r * uy / cast(10 as double) as py
+        from (select event_id, match_id, end_number, shot_number, cx, cy, case when kind = 4 then 2 * r else r end as r, kind from v_crops) c
+        cross join (values (0, 10, 0), (1, -10, 0), (2, 0, 10), (3, 0, -10), (4, 6, 8), (5, -6, 8), (6, 6, -8), (7, -6, -8)) u(k, ux, uy)
+        cross join (values ('narrow'), ('broad')) m(mask)
+        where (mask = 'narrow' and (kind in (0, 4) or kind = 1 and k < 5)) or (mask = 'broad' and kind in (0, 1))""",
+    "v_circles": """
+        select event_id, match_id, end_number, shot_number, cx + d as cx, cy + d as cy, r + e as r
+        from v_crops cross join (values (cast(0 as double), cast(0 as double)), (cast(40 as double), cast(3 as double)), (cast(3 as double), cast(60 as double))) u(d, e) where kind in (1, 2)""",
+    "v_hues": """
+        select okey as page_id, shot_number as indicator,
+               cast(case (okey + p) % 5 when 0 then 22 when 1 then 3 when 2 then 174 when 3 then 90 else 12 end + k % 5 as double) as hue, cast(40 + (p + k * 13) % 100 as double) as sat, cast(50 + (s + k * 29) % 150 as double) as val
+        from v_shots cross join (values (0), (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13)) u(k) where shot_number <= 3""",
+    "v_rounds": "select event_id, match_id, concat('Round ', cast(match_id % 9 as string)) as round from v_matches",
 }
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")

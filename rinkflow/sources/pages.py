@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import absolute_url, parse_tournament, resolve_gender
 
 SHOT_PAGE = "Game - Shot by Shot"
-PAGES = "path string, page_idx int, text string, words array<struct<x0:double,top:double,text:string>>, images array<struct<x0:double,x1:double,top:double,bottom:double>>"
+PAGES = "path string, page_idx int, text string, error string, words array<struct<x0:double,top:double,text:string>>, images array<struct<x0:double,x1:double,top:double,bottom:double>>"
 
 
 def read_html(spark: SparkSession, path: str) -> DataFrame:
@@ -23,7 +23,7 @@ def read_documents(spark: SparkSession, path: str, decode: Callable[[bytes], lis
     """Pages of binary files, one file per task: ``decode`` gives a dict of text, words and images per page.
 
     No decoder of result books is at hand here, so callers bring theirs.  A
-    file that it can't read gives one row with no text.
+    file that it can't read gives one row with the error and no text.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -32,14 +32,14 @@ def read_documents(spark: SparkSession, path: str, decode: Callable[[bytes], lis
             for path_, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     pages = decode(content)
-                except Exception:
-                    pages = [{"text": None, "words": [], "images": []}]
+                except Exception as e:  # whatever the caller's decoder raises belongs to the file
+                    pages = [{"text": None, "error": f"{type(e).__name__}: {e}"}]
                 word = pa.list_(pa.struct([("x0", pa.float64()), ("top", pa.float64()), ("text", pa.string())]))
                 image = pa.list_(pa.struct([(c, pa.float64()) for c in ("x0", "x1", "top", "bottom")]))
-                kinds = [pa.string(), pa.int32(), pa.string(), word, image]
-                rows = [(path_, i, p["text"], p.get("words", []), p.get("images", [])) for i, p in enumerate(pages)]
+                kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), word, image]
+                rows = [(path_, i, p["text"], p.get("error"), p.get("words", []), p.get("images", [])) for i, p in enumerate(pages)]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "page_idx", "text", "words", "images"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "page_idx", "text", "error", "words", "images"])
 
     return files.mapInArrow(run, PAGES)
 
@@ -110,11 +110,3 @@ def links(pages: DataFrame) -> DataFrame:
     """Every link of every page in order: page_id, pos, href, absolute url, title."""
     out = pages.select("page_id", F.posexplode(anchors(F.col("html"))).alias("pos", "a"))
     return out.select("page_id", "pos", F.col("a.href").alias("href"), absolute_url(F.col("a.href")).alias("url"), F.col("a.title").alias("title"))
-
-
-def draw_list(stones: DataFrame, orientation: Column) -> DataFrame:
-    """What a renderer would draw: pixel centres and radii of stones, by shot."""
-    from ..functions.geometry import to_pixel
-
-    px, py = to_pixel(F.col("x"), F.col("y"), orientation)
-    return stones.withColumns({"px": px, "py": py, "radius_px": F.lit(0.078 * 112.0), "z": F.row_number().over(Window.partitionBy("event_id", "match_id", "end_number", "shot_number").orderBy("team", "slot"))})
