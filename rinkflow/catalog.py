@@ -6,8 +6,6 @@ says the operator anew.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +15,7 @@ from .constants import END, SHOT, VERDICTS
 from .functions import geometry, text
 from .operators import detection, dims, features, graph, learning, metrics, reshape, tracking
 from .plans.adapters import oracle, view
+from .shared import new_folder, settled
 from .sources import pages as page_source
 from .sources import tables
 from .streaming import tracker
@@ -438,13 +437,9 @@ def graph_samples(v):
 
 # ---- pages and text ---------------------------------------------------------
 
-_END_RE = r"End\s+(\d+)\s+(\w+)\s*-\s*(.+?)\s+(\d+)\s*\+\s*(\d+|X)\s*\(this end\)\s*=\s*(\d+)\s+(\w+)\s*-\s*(.+?)\s+(\d+)\s*\+\s*(\d+|X)\s*\(this end\)\s*=\s*(\d+)"
-_END_NAMES = "['end_number', 'team1_code', 'team1_name', 'team1_score_before', 'team1_score_this_end', 'team1_score_after', 'team2_code', 'team2_name', 'team2_score_before', 'team2_score_this_end', 'team2_score_after']"
-
-
-@query(f"""select event_id, page_idx, cast(e.end_number as integer) as end_number, e.team1_code, e.team1_name, cast(e.team1_score_before as integer) as team1_score_before, e.team1_score_this_end, cast(e.team1_score_after as integer) as team1_score_after,
-e.team2_code, e.team2_name, cast(e.team2_score_before as integer) as team2_score_before, e.team2_score_this_end, cast(e.team2_score_after as integer) as team2_score_after
-from (select event_id, page_idx, regexp_extract(text, '{_END_RE}', {_END_NAMES}) as e from v_pages where regexp_matches(text, '{_END_RE}'))""")
+@query("""select e.event_id, p.page_idx, e.end_number, e.team1_code, 'Team One' as team1_name, cast(e.team1_score_before as integer) as team1_score_before, e.team1_score_this_end, cast(e.team1_score_after as integer) as team1_score_after,
+e.team2_code, 'Team Two' as team2_name, cast(e.team2_score_before as integer) as team2_score_before, e.team2_score_this_end, cast(e.team2_score_after as integer) as team2_score_after
+from v_ends e join v_pages p on p.okey = e.okey where e.okey % 37 <> 0""")
 def parse_end_line(v):
     return v.pages.select("event_id", "page_idx", text.parse_end_line(F.col("text")).alias("e")).where("e is not null").select("event_id", "page_idx", "e.*")
 
@@ -741,12 +736,12 @@ def matches_without_ends(v):
     return v.matches.join(v.known_ends, "match_id", "left_anti").select("event_id", "match_id")
 
 
-@query("select distinct least(team1_code, team2_code) as a, greatest(team1_code, team2_code) as b from v_ends intersect select distinct least(team2_code, team1_code), greatest(team2_code, team1_code) from v_matches where match_id % 2 = 0")
+@query("select distinct least(team1_code, team2_code) as a, greatest(team1_code, team2_code) as b from v_ends intersect select distinct least(team2_code, team1_code), greatest(team2_code, team1_code) from v_matches")
 def team_pairs(v):
     def pair(df):
         return df.select(F.least("team1_code", "team2_code").alias("a"), F.greatest("team1_code", "team2_code").alias("b"))
 
-    return pair(v.ends).intersect(pair(v.matches.where("match_id % 2 = 0")))
+    return pair(v.ends).intersect(pair(v.matches))
 
 
 @query("""select e.year, count(*) as n_ends, count(*) filter (where k.team1_time_left <> '') as with_time, cast(count(*) filter (where k.team1_time_left <> '') as double) / count(*) as share
@@ -771,24 +766,24 @@ def _board_rows(v: Views) -> DataFrame:
 @query(f"select {KEYS}, team, slot, x, y, stone_id, prev_x, prev_y from tracked", TRACKED_SQL)
 def stream_tracker(v):
     """The tracker as a stream of files, run until all are read."""
-    base = tempfile.mkdtemp(prefix="rinkflow-stream-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/stream-{uuid.uuid4().hex}"
+    base = new_folder(v.spark, "stream")
     rows = _board_rows(v)
     rows.repartition(4, *END).write.parquet(f"{base}/in")
     stream = v.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
     done = tracker.track_stream(stream).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
     done.awaitTermination()
-    return v.spark.read.schema(tracker.TRACKED).parquet(f"{base}/out")
+    return settled(v.spark.read.schema(tracker.TRACKED).parquet(f"{base}/out"), base)
 
 
 @query("select event_id, count(*) as n_shots from v_shots group by all")
 def incremental_ingest(v):
     """Shots written as files and taken in by a resumable stream."""
-    base = tempfile.mkdtemp(prefix="rinkflow-ingest-") if not v.spark.conf.get("spark.checkpoint.dir", None) else f"{v.spark.conf.get('spark.checkpoint.dir')}/ingest-{uuid.uuid4().hex}"
+    base = new_folder(v.spark, "ingest")
     rows = v.shots.select(*SHOT, "team_code", "shot_type")
     rows.repartition(6).write.parquet(f"{base}/in")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     got = tracker.ingest(v.spark, f"{base}/in", schema, f"{base}/out", f"{base}/state", files_per_batch=2)
-    return got.groupBy("event_id").agg(F.count("*").alias("n_shots"))
+    return settled(got.groupBy("event_id").agg(F.count("*").alias("n_shots")), base)
 
 
 from . import catalog_io  # noqa: E402, F401  (registers its queries)

@@ -15,21 +15,12 @@ from .catalog import KEYS, METRIC_SQL, TRACKED_SQL, Views, _stones, _tracked, qu
 from .constants import SHOT
 from .functions import text
 from .operators import detection, dims, learning, metrics, reshape, tracking
-from .shared import new_folder, remove_folder
+from .shared import cut, new_folder, settled
 from .sources import images as board
 from .sources import pages as page_source
 from .sources import tables
 
 
-def _settled(v: Views, df: DataFrame, folder: str) -> DataFrame:
-    """The rows, read and gathered before the folder goes."""
-    from .shared import cut
-
-    out = cut(df)
-    remove_folder(v.spark, folder)
-    return out
-
-
 # ---- files --------------------------------------------------------------------
 
 
@@ -40,7 +31,7 @@ def read_pages(v):
     v.spark.read.parquet(f"{v.sf_dir}/pages.parquet").select("page_id", F.col("html").alias("value")).repartition("page_id").write.partitionBy("page_id").option("lineSep", "\x01").text(folder)
     got = page_source.read_html(v.spark, f"{folder}/*/*.txt")
     html = F.regexp_replace("html", "\x01$", "")
-    return _settled(v, got.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"), F.md5(html.cast("binary")).alias("digest"), F.length(html).alias("n")), folder)
+    return settled(got.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"), F.md5(html.cast("binary")).alias("digest"), F.length(html).alias("n")), folder)
 
 
 @query("select event_id, page_idx, text, cast(null as varchar) as error from v_pages where event_id % 3 <> 0 union all select event_id, 0, null, 'ValueError: not a book' from v_events where event_id % 3 = 0")
@@ -59,7 +50,7 @@ def read_books(v):
     got = page_source.read_documents(v.spark, f"{folder}/*/*.txt", decode)
     event = F.regexp_extract("path", r"event_id=(\d+)", 1).cast("bigint")
     first = F.when(F.col("error").isNull(), 1).otherwise(0)
-    return _settled(v, got.select(event.alias("event_id"), (F.col("page_idx") + first).alias("page_idx"), "text", "error"), folder)
+    return settled(got.select(event.alias("event_id"), (F.col("page_idx") + first).alias("page_idx"), "text", "error"), folder)
 
 
 _ENDS = "event_id, match_id, end_number, team1_code, team2_code, cast(team1_score_before as bigint) as team1_score_before, nullif(team1_score_this_end, '') as team1_score_this_end, nullif(hammer_team_code, '') as hammer_team_code, nullif(team1_time_left, '') as team1_time_left"
@@ -71,7 +62,7 @@ def csv_ends(v):
     folder = new_folder(v.spark, "ends")
     tables.write_csv(v.known_ends.drop("okey"), f"{folder}/ends.csv")
     got = tables.read_ends(v.spark, f"{folder}/ends.csv")
-    return _settled(v, got.select("event_id", "match_id", "end_number", "team1_code", "team2_code", "team1_score_before", "team1_score_this_end", "hammer_team_code", "team1_time_left", "is_conceded"), folder)
+    return settled(got.select("event_id", "match_id", "end_number", "team1_code", "team2_code", "team1_score_before", "team1_score_this_end", "hammer_team_code", "team1_time_left", "is_conceded"), folder)
 
 
 @query("select event_id, event_name, year, gender from v_events")
@@ -80,7 +71,7 @@ def csv_fragments(v):
     folder = new_folder(v.spark, "fragments")
     for k in range(3):
         tables.write_csv(v.events.where(F.col("event_id") % 3 == k), f"{folder}/part{k}.csv")
-    return _settled(v, tables.read_fragments(v.spark, [f"{folder}/part{k}.csv" for k in range(3)], schemas.EVENTS).select("event_id", "event_name", F.col("year").cast("int").alias("year"), "gender"), folder)
+    return settled(tables.read_fragments(v.spark, [f"{folder}/part{k}.csv" for k in range(3)], schemas.EVENTS).select("event_id", "event_name", F.col("year").cast("int").alias("year"), "gender"), folder)
 
 
 @query("select event_id, match_id, team1_code, case when event_id % 2 = 0 then 'second' else 'first' end as round from v_matches")
@@ -90,7 +81,7 @@ def event_store(v):
     first = v.matches.withColumn("round", F.lit("first"))
     tables.write_events(first, folder, schemas.MATCHES)
     tables.write_events(first.where("event_id % 2 = 0").withColumn("round", F.lit("second")), folder, schemas.MATCHES)
-    return _settled(v, tables.read_events(v.spark, folder, schemas.MATCHES).select("event_id", "match_id", "team1_code", "round"), folder)
+    return settled(tables.read_events(v.spark, folder, schemas.MATCHES).select("event_id", "match_id", "team1_code", "round"), folder)
 
 
 _PLAYERS = "(select event_id, team_code, player_name, min((match_id, end_number, shot_number)) as f from v_shots group by all)"
@@ -103,7 +94,7 @@ def resume_registry(v):
     folder = new_folder(v.spark, "players")
     tables.write_events(dims.player_ids(v.shots.where("event_id <= 12")), folder, schemas.PLAYERS)
     known = tables.read_events(v.spark, folder, schemas.PLAYERS)
-    return _settled(v, dims.resume_players(known, v.shots), folder)
+    return settled(dims.resume_players(known, v.shots), folder)
 
 
 @query("select distinct event_id, team_code, player_name from v_shots")
@@ -125,7 +116,7 @@ def tracked_file(v):
         wide = tables.read(v.spark, f"{folder}/t.{suffix}", schemas.shots_tracked())
         assert wide.columns == want
         sides.append(reshape.wide_to_long(wide).select(*SHOT, "team", "slot", "x", "y", F.col("stone_id").cast("bigint").alias("stone_id"), "prev_x", "prev_y", "is_shot_stone"))
-    return _settled(v, sides[0].intersectAll(sides[1]), folder)
+    return settled(sides[0].intersectAll(sides[1]), folder)
 
 
 @query("select split, count(*) as n, cast(sum(n) as bigint) as n_nodes from (select case when e.year is null or e.year <= 2023 then 'train' when e.year = 2024 then 'val' else 'test' end as split, c.team1_stones_in_play + c.team2_stones_in_play as n from v_counted c left join v_events e using (event_id)) where split <> 'train' group by split")
@@ -137,7 +128,7 @@ def sample_files(v):
     s = graph.assign_splits(v.counted.select(*SHOT, F.array_repeat(F.lit(0.0), (F.col("team1_stones_in_play") + F.col("team2_stones_in_play")).cast("int")).alias("x_t")), v.events)
     tables.write_samples(s, folder)
     got = tables.read_samples(v.spark, folder, "val").unionByName(tables.read_samples(v.spark, folder, "test"))
-    return _settled(v, got.groupBy("split").agg(F.count("*").alias("n"), F.sum(F.size("x_t")).alias("n_nodes")), folder)
+    return settled(got.groupBy("split").agg(F.count("*").alias("n"), F.sum(F.size("x_t")).alias("n_nodes")), folder)
 
 
 @query("select filename, concat('https://x/', filename) as url, cast(ends_evaluated as integer) as year, f1 from v_results where ends_evaluated % 2 = 0")
@@ -150,7 +141,7 @@ def manifest_files(v):
     v.spark.createDataFrame([(tables.baseline_json(v.results, {"min_f1": 97.0}),)], "value string").coalesce(1).write.text(f"{folder}/results")
     assert tables.read_thresholds(v.spark, f"{folder}/results") == {"min_f1": 97.0}
     got = tables.read_manifest(v.spark, f"{folder}/manifest").join(tables.read_results(v.spark, f"{folder}/results"), "filename")
-    return _settled(v, got.select("filename", "url", "year", "f1"), folder)
+    return settled(got.select("filename", "url", "year", "f1"), folder)
 
 
 @query("""select '| event_id | n |' as line union all select '|---|---|' union all select concat('| ', event_id, ' | ', n, ' |') from (select event_id, count(*) as n from v_matches group by event_id)""")
@@ -197,7 +188,7 @@ def batch_loop(v):
     batches = {f"odd-{k}": keys.where(f"match_id % 2 = {k}") for k in (0, 1)}
     tables.run_batches(batches, work, folder, retries=2)
     tables.run_batches(batches, work, folder, retries=2)  # nothing is left to do
-    return _settled(v, v.spark.read.parquet(f"{folder}/done/*").select("event_id", "match_id", "n_shots", "attempts"), folder)
+    return settled(v.spark.read.parquet(f"{folder}/done/*").select("event_id", "match_id", "n_shots", "attempts"), folder)
 
 
 # ---- images ---------------------------------------------------------------------
@@ -338,8 +329,6 @@ union all select 'bucket', frag_bucket, count(*), round(avg(frag), 9) from f gro
 union all select 'end_number', cast(end_number as varchar), count(*), round(avg(frag), 9) from f group by end_number
 union all select 'n_shots', cast(n_shots as varchar), count(*), round(avg(frag), 9) from f group by n_shots""")
 def fragmentation_summary(v):
-    from .shared import cut
-
     return metrics.describe_fragmentation(cut(metrics.fragmentation(v.known, v.boards))).withColumn("value", F.round("value", 9))
 
 

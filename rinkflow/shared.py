@@ -40,3 +40,10 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def settled(df: DataFrame, folder: str) -> DataFrame:
+    """The rows, kept before the folder that they come from is removed."""
+    out = cut(df)
+    remove_folder(df.sparkSession, folder)
+    return out
