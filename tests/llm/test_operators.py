@@ -545,6 +545,16 @@ def test_winnowing_keeps_one_of_each_window():
             assert first in got or 150 <= first < 220 or h[first] == h[first - 1]
 
 
+def test_texts_that_repeat_themselves(spark):
+    """A pair of words over and over gives few passages, which cover it."""
+    rows = [(i, f"{prose(60, i)} {'tick tock ' * n}{prose(60, 500 + i)}", None, None, None) for i, n in enumerate([300, 300, 150, 300, 25, 400])]
+    found = substrings.passages(frame(spark, rows)).collect()
+    for i, n in [(1, 300), (2, 150), (3, 300), (5, 400)]:
+        own = [r for r in found if r.doc_id == i]
+        covered = {k for r in own for k in range(r.start_word, r.end_word)}
+        assert len(own) < 40 and len(covered & set(range(60, 60 + 2 * n))) >= 0.9 * 2 * n and len(covered) < 2 * n + 40
+
+
 def test_edited_passages_are_found(spark):
     """Substitutions at every kth word, and at random, of one source; at most 0.2 of the words."""
     rows, want = [], set()
