@@ -1,11 +1,12 @@
 """Near-duplicate documents by b-bit MinHash.
 
-One pass over the texts gives each document the digest of its shingle set and
-the keys of its bands of minima.  Equal sets fold into one representative.
-Band keys that representatives share join them into candidate clusters.  Within
-a cluster, signatures that keep ``BITS`` low bits of each minimum are packed,
-bit counts corrected for chance collisions estimate the similarity and choose
-the pairs whose full sets are compared, and only confirmed links count.
+One pass over the texts gives each document the digest of its shingle set, the
+keys of its bands of minima, and a packed signature of ``BITS`` low bits of each
+minimum.  Equal sets fold into one representative.  Representatives that share a
+band key meet in that band's bucket with their signatures alone: bit counts,
+corrected for chance collisions, estimate their similarity, and those in reach
+of the threshold form a cluster.  Texts move only to clusters, where full sets
+are compared, and only confirmed links count.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut
 from . import textkernel as tk
-from ._util import cut, group_bounds, own_shuffle, partitions, texts, whole_groups
+from ._util import group_bounds, own_shuffle, partitions, texts, whole_groups
 from .graph import connected_components
 
 #: At a similarity of 0.85 a pair shares no band with a probability of 7e-7.
@@ -29,8 +31,10 @@ WORDS = 5
 SLACK = 6.0
 #: Shingles in a block of a cluster; larger clusters are compared by pairs of blocks, each in its own task.
 BLOCK = 1 << 17
+#: Signatures in a block of a band's bucket; larger buckets are compared by pairs of blocks too.
+BUCKET = 1 << 12
 
-SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, packed binary"
 
 
 def minima(values: np.ndarray, ptr: np.ndarray, count: int, seed: int = 1) -> np.ndarray:
@@ -99,14 +103,74 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d = np.array([[x >> 64, x & (2**64 - 1)] for x in digest], np.uint64).reshape(-1, 2).view(np.int64)
             n = np.diff(ptr)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), lists], ["doc_id", "n_shingles", "d1", "d2", "bands"])
+            packed = pa.array([x.tobytes() for x in packed_bits(mins)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), lists, packed], ["doc_id", "n_shingles", "d1", "d2", "bands", "packed"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Set size, digest of the set and band keys of every document."""
+    """Set size, digest of the set, band keys and packed signature of every document."""
     return texts(docs).mapInArrow(_sign, SIGNED)
 
 
+def least_estimate(percent: int) -> float:
+    """Estimate that a linked pair falls short of with next to no chance."""
+    t = percent / 100
+    p = t + (1 - t) * 2.0**-BITS
+    return t - SLACK * np.sqrt(p * (1 - p) / (BANDS * ROWS)) / (1 - 2.0**-BITS)
+
+
+def near_group(sig: np.ndarray, size: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Component label (an index) of each signature, joined where sizes and estimates allow a link between unlike sides (or any, if all are on one)."""
+    label = np.arange(len(sig))
+    floor, one_side = least_estimate(percent), bool((side == side[0]).all())
+    for i in range(len(sig)):
+        c = label != label[i]
+        if not one_side:
+            c &= side != side[i]
+        c = np.flatnonzero(c & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+        if len(c):
+            c = c[estimate(sig[c], sig[i], BANDS * ROWS) >= floor]
+        if len(c):
+            joined = np.append(label[c], label[i])
+            label[np.isin(label, joined)] = joined.min()
+    return label
+
+
+def _spanning(ids: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of all members of each label to its smallest id."""
+    order = np.lexsort((ids, label))
+    ids, label = ids[order], label[order]
+    new = np.append(True, label[1:] != label[:-1])
+    least = ids[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    own = ids != least
+    return ids[own], least[own]
+
+
+def _estimator(percent: int):
+    keys = ["key", "bi", "bj"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, keys):
+            bounds = group_bounds(t, keys)
+            ids, size, block, bi = (t.column(k).to_numpy() for k in ("rep", "n_shingles", "block", "bi"))
+            sig = np.frombuffer(b"".join(t.column("packed").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            found = [(np.zeros(0, np.int64),) * 2]
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                if j - i > 1:
+                    found.append(_spanning(ids[i:j], near_group(sig[i:j], size[i:j], (block[i:j] == bi[i:j]).astype(np.int8), percent)))
+            src, dst = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], ["src", "dst"])
+
+    return run
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (group, blocks, rep, ...) for each pair of blocks (bi, bj) that theirs is one of."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")}).drop("other", "blocks")
+
+
 class _Postings:
     """Intersection sizes of one set of a group with all others, by an inverted index."""
 
@@ -148,10 +212,7 @@ def link_group(sh: np.ndarray, ptr: np.ndarray, sig: np.ndarray, side: np.ndarra
     order = index.centre() if index else label.copy()
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
-    count = BANDS * ROWS
-    t = percent / 100
-    p = t + (1 - t) * 2.0**-BITS
-    floor = t - SLACK * np.sqrt(p * (1 - p) / count) / (1 - 2.0**-BITS)
+    count, floor = BANDS * ROWS, least_estimate(percent)
     for i in order:
         near = (label != label[i]) & (rank > rank[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         if not one_side:
@@ -198,12 +259,9 @@ def _linker(percent: int):
                         continue
                     own = slice(lo + i, lo + j)
                     label = link_group(sh[ptr[i] : ptr[j]], ptr[i : j + 1] - ptr[i], sig[i:j], (block[own] == bi[own]).astype(np.int8), percent)
-                    for x in np.unique(label[label != np.arange(j - i)]):
-                        members = ids[own][label == x]
-                        least = members.min()
-                        rest = members[members != least]
-                        src.append(rest)
-                        dst.append(np.full(len(rest), least))
+                    rest, least = _spanning(ids[own], label)
+                    src.append(rest)
+                    dst.append(least)
                 at = to
             if src:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
@@ -219,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable by links, and a document
     is kept if that is its own.  Texts that are null or hold no word link with
     nothing and are kept.  Repeated rows each get a row; unlike texts under one id
-count as one document that has the links of all of them.  Rows with a null id
+    count as one document that has the links of all of them.  Rows with a null id
     take part in no group: their component is null and they are kept.  Other
     columns are ignored.  An empty table gives an empty result.
 
@@ -228,16 +286,16 @@ count as one document that has the links of all of them.  Rows with a null id
     signed = cut(signatures(docs))
     some = signed.where("doc_id is not null and n_shingles > 0")
     reps = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    rep_rows = some.join(own_shuffle(reps, "d1", "d2"), ["d1", "d2"]).where("doc_id = rep").select("rep", "n_shingles", "bands")
+    rep_rows = some.join(own_shuffle(reps, "d1", "d2"), ["d1", "d2"]).where("doc_id = rep").select("rep", "n_shingles", "bands", "packed")
     keyed = rep_rows.select("rep", F.explode("bands").alias("key"))
-    leads = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
-    candidates = keyed.join(own_shuffle(leads, "key"), "key").where("rep <> lead").select(F.col("rep").alias("src"), F.col("lead").alias("dst"))
-    clusters = connected_components(candidates).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BUCKET).alias("blocks"))
+    met = keyed.join(own_shuffle(shared, "key"), "key").join(rep_rows.drop("bands"), "rep")
+    met = _in_blocks(met).select("key", "bi", "bj", "block", "rep", "n_shingles", "packed")
+    near = met.repartition(partitions(docs), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_estimator(percent), "src long, dst long")
+    clusters = connected_components(near).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
     sizes = some.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n_shingles").alias("n_shingles"))
     blocks = clusters.join(sizes, "rep").groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
-    member = clusters.join(own_shuffle(blocks, "cluster"), "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    member = member.select("cluster", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "rep")
+    member = _in_blocks(clusters.join(own_shuffle(blocks, "cluster"), "cluster"))
     rows = member.join(texts(docs).withColumnRenamed("doc_id", "rep"), "rep")
     sorted_rows = rows.repartition(partitions(docs), "cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj", "rep")
     links = sorted_rows.select("cluster", "bi", "bj", "block", "rep", "text").mapInArrow(_linker(percent), "src long, dst long")
