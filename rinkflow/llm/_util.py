@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,20 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows in files of the shared checkpoint folder, so lost executors cost no re-run.
-
-    The folder is the one named in ``spark.checkpoint.dir``; only where that is
-    unset, as in tests, a temporary one is used.
-    """
-    spark = df.sparkSession
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(place or os.path.join(tempfile.gettempdir(), "rinkflow-checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def own_shuffle(small: DataFrame, *keys: str) -> DataFrame:
     """The same rows of a table grouped by integer ``keys``, whose partitioning is no longer known to the plan.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut, own_shuffle
+from ..shared import cut
+from ._util import own_shuffle
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -25,8 +25,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut
 from . import textkernel as tk
-from ._util import cut, group_bounds, id_remainder, partitions, texts, whole_groups
+from ._util import group_bounds, id_remainder, partitions, texts, whole_groups
 
 ORDER = 3
 #: Weight of the next lower order in a context, by order.

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cut, group_bounds, own_shuffle, partitions, whole_groups
+from ..shared import cut
+from ._util import group_bounds, own_shuffle, partitions, whole_groups
 from .graph import connected_components
 
 #: Vectors that the quantisers are fitted on at most, and rounds of fitting.
