@@ -26,10 +26,12 @@ from .graph import connected_components
 
 #: Vectors that the quantisers are fitted on at most, and rounds of fitting.
 SAMPLE, ROUNDS = 16_384, 8
-#: Inverted lists at most, subspaces and codes of each.
-LISTS, SUBSPACES, CODES = 1024, 8, 64
+#: Subspaces and codes of each; lists grow with the root of the rows, up to a quarter of the sample.
+SUBSPACES, CODES = 8, 64
 #: Rows of a block of a list; larger lists are compared by pairs of blocks, each in its own task.
 BLOCK = 2048
+#: Pairs whose exact cosines are taken at a time; where most pairs survive, one product of matrices takes them all.
+PAIRS, DENSE = 1 << 16, 0.1
 EPS = 1e-9
 
 
@@ -53,7 +55,7 @@ def fit(sample: np.ndarray, rows: int, seed: int = 3) -> dict:
     """Coarse centres and residual codebooks from a sample of unit vectors, for so many rows."""
     rng = np.random.default_rng(seed)
     # few, large lists: a query is sent to each list that it probes, and blocks of members are cheap to compare
-    lists = int(np.clip(np.sqrt(rows) / 8, 1, min(LISTS, max(1, len(sample) // 4))))
+    lists = int(np.clip(np.sqrt(rows) / 8, 1, max(1, len(sample) // 4)))
     coarse = kmeans(sample, lists, rng)
     at, _ = _nearest(sample, coarse)
     rest = sample - coarse[at]
@@ -116,6 +118,18 @@ def _min_labels(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tupl
         left, right = back, new
 
 
+def confirmed(a: np.ndarray, b: np.ndarray, near: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs ``near`` have a cosine of ``threshold`` at least."""
+    if near.mean() > DENSE:
+        return (a @ b.T >= threshold) & near
+    x, y = np.nonzero(near)
+    out = np.zeros_like(near)
+    for i in range(0, len(x), PAIRS):
+        p, r = x[i : i + PAIRS], y[i : i + PAIRS]
+        out[p, r] = np.einsum("ij,ij->i", a[p], b[r]) >= threshold
+    return out
+
+
 def _matcher(shared, threshold: float, reach: float):
     keys = ["label", "list", "width", "qb", "mb"]
 
@@ -143,8 +157,8 @@ def _matcher(shared, threshold: float, reach: float):
                 rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
                 if not len(rows):
                     continue
-                q, m = q[rows], m[cols]
-                linked = (v[q] @ v[m].T >= threshold) & near[np.ix_(rows, cols)]
+                q, m, near = q[rows], m[cols], near[np.ix_(rows, cols)]
+                linked = confirmed(v[q], v[m], near, threshold)
                 rows, cols = linked.any(1), linked.any(0)
                 q, m, linked = q[rows], m[cols], linked[np.ix_(rows, cols)]
                 if not len(q):
@@ -202,7 +216,9 @@ def _links(unit: DataFrame, threshold: float) -> DataFrame:
     models = {}
     for width, n in sizes.items():
         draw = F.pmod(F.xxhash64("rep", F.lit("pq")), F.lit(1 << 30)) / float(1 << 30)
-        sample = unit.where((F.col("width") == width) & (draw < SAMPLE / n)).select("v").limit(2 * SAMPLE).toArrow()
+        # nearly all rows beyond the wanted ones are left out before the sort
+        few = unit.where((F.col("width") == width) & (draw < 2 * SAMPLE / n + 1e-3))
+        sample = few.orderBy(draw, "rep").limit(SAMPLE).select("v").toArrow()
         x = _vectors(sample.column(0).combine_chunks(), width) if sample.num_rows else np.eye(1, width)
         models[width] = fit(x, n)
     shared = spark.sparkContext.broadcast(models)

@@ -113,6 +113,15 @@ def test_pq_equals_brute_force(spark):
     assert got[None].component_id is None and got[None].n_links == 0 and got[None].kept
 
 
+def test_confirmed_pairs():
+    v = np.random.default_rng(3).normal(size=(60, 16))
+    v = v / np.linalg.norm(v, axis=1, keepdims=True)
+    cos = v @ v.T
+    for share in (0.02, 0.5):
+        near = np.random.default_rng(4).random(cos.shape) < share
+        assert (pq.confirmed(v, v, near, 0.2) == (near & (cos >= 0.2))).all()
+
+
 def test_pq_in_blocks_and_empty(spark, monkeypatch):
     monkeypatch.setattr(pq, "BLOCK", 4)
     test_pq_equals_brute_force(spark)
