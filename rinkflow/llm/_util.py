@@ -107,21 +107,22 @@ def id_filter(ids: DataFrame):
     return ids.sparkSession.sparkContext.broadcast(table_)
 
 
+def filtered(shared, batches: Iterator[pa.RecordBatch], at: int, keep: bool = True) -> Iterator[pa.RecordBatch]:
+    """Rows of batches whose id, in column ``at``, the filter may hold; with ``keep`` false, all the others (null ids too)."""
+    held = shared.value
+    for batch in batches:
+        ids = batch.column(at)
+        there = ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False), bool)
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        for place in _id_places(values, len(held) * 64):
+            there &= (held[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        yield batch.filter(pa.array(there if keep else ~there))
+
+
 def may_hold(shared, df: DataFrame, column: str, keep: bool = True) -> DataFrame:
     """Rows of ``df`` whose id the filter may hold; with ``keep`` false, all the others (null ids too)."""
-    at, schema = df.columns.index(column), df.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        for batch in batches:
-            ids = batch.column(at)
-            there = ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False), bool)
-            values = ids.fill_null(0).to_numpy(zero_copy_only=False)
-            for place in _id_places(values, len(held) * 64):
-                there &= (held[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-            yield batch.filter(pa.array(there if keep else ~there))
-
-    return df.mapInArrow(run, schema)
+    at = df.columns.index(column)
+    return df.mapInArrow(lambda batches: filtered(shared, batches, at, keep), df.schema)
 
 
 def partitions(df: DataFrame) -> int:

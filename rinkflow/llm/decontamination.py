@@ -173,6 +173,6 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) ->
     out = None
     for ids, held in _item_blocks(benchmark):
         index = spark.sparkContext.broadcast(index_items(ids, pa.array(held, pa.large_string())))
-        found = texts(docs).mapInArrow(_search(index, threshold), schema)
+        found = texts(docs).mapInArrow(tk.lean(_search(index, threshold)), schema)
         out = found if out is None else out.unionAll(found)
     return out if out is not None else spark.createDataFrame([], schema)

@@ -70,7 +70,7 @@ def fit(labelled: DataFrame) -> dict:
     chance = labelled.sparkSession.createDataFrame([(x, min(1.0, SAMPLE / sizes[x])) for x in langs], "lang string, chance double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.join(F.broadcast(chance), "lang").where(draw < F.col("chance")).select("lang", "text")
-    counts = sample.mapInArrow(_counter, "n int, h long, lang string, c long").groupBy("n", "h", "lang").agg(F.sum("c").alias("c"))
+    counts = sample.mapInArrow(tk.lean(_counter), "n int, h long, lang string, c long").groupBy("n", "h", "lang").agg(F.sum("c").alias("c"))
     per_key = counts.groupBy("n", "h").agg(F.sum("c").alias("total"), F.collect_list(F.struct("lang", "c")).alias("by"))
     index = {x: i for i, x in enumerate(langs)}
     total = {}
@@ -196,7 +196,7 @@ def spoken(docs: DataFrame, least: float, train: Column | None = None) -> DataFr
                 names, _, fits = _predict(model.value, part.column(at))
                 yield part.filter(pa.array((np.asarray(names) != "und") & (fits.to_numpy() >= least)))
 
-    return docs.mapInArrow(filter_, docs.schema)
+    return docs.mapInArrow(tk.lean(filter_), docs.schema)
 
 
 def identify(docs: DataFrame, train: Column | None = None) -> DataFrame:
@@ -213,7 +213,7 @@ def identify(docs: DataFrame, train: Column | None = None) -> DataFrame:
     ignored.  An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = rows.mapInArrow(_predictor(_fitted(docs, train), 1), "doc_id long, lang_pred string, score double, fit double")
+    found = rows.mapInArrow(tk.lean(_predictor(_fitted(docs, train), 1)), "doc_id long, lang_pred string, score double, fit double")
     return found
 
 

@@ -223,8 +223,8 @@ def train(docs: DataFrame) -> dict:
     size = _bytes_of(docs)
     bits = max(2, (size // BUCKET_BYTES).bit_length())
     key_bits = min(60, max(KEY_BITS, size.bit_length() + SPARE_BITS))
-    counted = docs.mapInArrow(_counter(bits, key_bits), COUNTED)
-    buckets = cut(counted.repartition(max(partitions(docs), 1 << bits >> 1), "bucket").sortWithinPartitions("bucket").mapInArrow(_merger(bits, key_bits), MERGED))
+    counted = docs.mapInArrow(tk.lean(_counter(bits, key_bits)), COUNTED)
+    buckets = cut(counted.repartition(max(partitions(docs), 1 << bits >> 1), "bucket").sortWithinPartitions("bucket").mapInArrow(tk.lean(_merger(bits, key_bits)), MERGED))
     total = buckets.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
     return {"buckets": buckets, "bits": bits, "key_bits": key_bits, "tokens": total.tokens or 0, "distinct": total.distinct or 0}
 
@@ -338,7 +338,10 @@ def _scorer(total: int, key_bits: int):
         answers = answers.sort_by([("n", "ascending"), ("bucket", "ascending")])
         order, data = answers.column("n").to_numpy(), answers.column("data").to_pylist()
         found = {n: np.concatenate([_unpack(x) for x, own in zip(data, order, strict=True) if own == n]) for n in range(1, ORDER + 1)}
-        return _scores(*_run_tokens(dealt.column("data").to_pylist()), found, total, key_bits)
+        out = _scores(*_run_tokens(dealt.column("data").to_pylist()), found, total, key_bits)
+        del answers, data, found
+        tk.trim()
+        return out
 
     return score
 
@@ -358,14 +361,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     runs = max(1, _bytes_of(named) // RUN_BYTES)
     # a row's run follows from its content, so a repeated task deals alike
     run = F.pmod(F.xxhash64("doc_id", "text"), F.lit(runs)).alias("run")
-    dealt = named.select(run, "doc_id", "text").mapInArrow(_dealer, "run long, data binary").repartition(max(width, runs >> 2), "run")
-    probes = dealt.sortWithinPartitions("run").mapInArrow(_prober(bits, key_bits), ROUTED)
+    dealt = named.select(run, "doc_id", "text").mapInArrow(tk.lean(_dealer), "run long, data binary").repartition(max(width, runs >> 2), "run")
+    probes = dealt.sortWithinPartitions("run").mapInArrow(tk.lean(_prober(bits, key_bits)), ROUTED)
     b = model["buckets"]
     nothing = F.lit(None).cast("binary").alias("more")
     counts = b.select(F.lit(-2).cast("long").alias("run"), "bucket", F.lit(1).alias("n"), F.col("keys").alias("data"), F.col("counts").alias("more"))
     segments = b.select(F.lit(-1).cast("long").alias("run"), "bucket", F.lit(0).alias("n"), F.col("segment").alias("data"), nothing)
     both = probes.unionAll(counts).unionAll(segments).repartition(max(width, 1 << bits >> 1), "bucket").sortWithinPartitions("bucket", "run")
-    answers = both.mapInArrow(_answerer(bits, key_bits), ROUTED).select("run", "bucket", "n", "data")
+    answers = both.mapInArrow(tk.lean(_answerer(bits, key_bits)), ROUTED).select("run", "bucket", "n", "data")
     # both sides are dealt by run, and the texts' exchange is the one that the probes read
     total = model["tokens"] + model["distinct"] + 1
     scored = dealt.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_scorer(total, key_bits), SCORED)

@@ -109,7 +109,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """Set size, digest of the set, band keys and packed signature of every document."""
-    return texts(docs).mapInArrow(_sign, SIGNED)
+    return texts(docs).mapInArrow(tk.lean(_sign), SIGNED)
 
 
 def least_estimate(percent: int) -> float:
@@ -291,14 +291,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BUCKET).alias("blocks"))
     met = keyed.join(own_shuffle(shared, "key"), "key").join(rep_rows.drop("bands"), "rep")
     met = _in_blocks(met).select("key", "bi", "bj", "block", "rep", "n_shingles", "packed")
-    near = met.repartition(partitions(docs), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_estimator(percent), "src long, dst long")
+    near = met.repartition(partitions(docs), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(tk.lean(_estimator(percent)), "src long, dst long")
     clusters = connected_components(near).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
     sizes = some.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n_shingles").alias("n_shingles"))
     blocks = clusters.join(sizes, "rep").groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
     member = _in_blocks(clusters.join(own_shuffle(blocks, "cluster"), "cluster"))
     rows = member.join(texts(docs).withColumnRenamed("doc_id", "rep"), "rep")
     sorted_rows = rows.repartition(partitions(docs), "cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj", "rep")
-    links = sorted_rows.select("cluster", "bi", "bj", "block", "rep", "text").mapInArrow(_linker(percent), "src long, dst long")
+    links = sorted_rows.select("cluster", "bi", "bj", "block", "rep", "text").mapInArrow(tk.lean(_linker(percent)), "src long, dst long")
     found = connected_components(links).select(F.col("id").alias("rep"), "component")
     by_set = reps.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2"], "left")

@@ -131,7 +131,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False, toke
     """
     spark = docs.sparkSession
     schema = PIECES + (", ids binary" if with_ids else "")
-    pieces = cut(texts(docs).mapInArrow(_cutter(capacity, with_ids, tokenizer_file, ranks_file), schema))
+    pieces = cut(texts(docs).mapInArrow(tk.lean(_cutter(capacity, with_ids, tokenizer_file, ranks_file)), schema))
     totals = {r.klass: r.n for r in pieces.groupBy("klass").agg(F.count("*").alias("n")).collect()}  # a row for each class: at most 2 * sqrt(capacity)
     base, full = 0, {}
     for k in sorted(totals):

@@ -9,8 +9,10 @@ between words, so memory beside the result is bounded however long a text is.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,24 @@ def process_cache() -> dict:
     return sys.__dict__.setdefault("_rinkflow_llm_cache", {})
 
 
+def trim() -> None:
+    """Give memory that isn't used any more back to the system: workers live on, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of batches that trims its worker's memory when it ends."""
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return trimmed
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = process_cache()
     if "powers" not in cache or len(cache["powers"][0]) < n:

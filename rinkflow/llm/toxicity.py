@@ -209,7 +209,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: Column | None = Non
     texts, y = sample(docs, labels, train_rows if train_rows is not None else F.lit(True))
     model = docs.sparkSession.sparkContext.broadcast(train(texts, y))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_scorer(model), "doc_id long, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return rows.mapInArrow(tk.lean(_scorer(model)), "doc_id long, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def held_out(column: str = "doc_id") -> Column:
