@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
 from .constants import MIN_YEAR, SHOT
-from .operators import detection, features, graph, metrics, reshape, tracking
-from .sources import pages, tables
+from .operators import detection, features, graph, metrics, reshape, tracking, training
+from .sources import images, pages, tables
 
 
 def _boards(wide: DataFrame) -> DataFrame:
@@ -57,6 +59,26 @@ def main(args: list[str] | None = None) -> int:
     c = sub.add_parser("regress", help="results against a baseline, both JSON")
     c.add_argument("current")
     c.add_argument("baseline")
+    c = sub.add_parser("evaluate", help="detected stones against true ones: records, and figures as JSON")
+    c.add_argument("truth", help="keys, colour, is_ghost, x, y, dist")
+    c.add_argument("detected")
+    c.add_argument("output", help="folder of the records; .json beside it has the figures")
+    c = sub.add_parser("metrics", help="figures of results files as Markdown, with their means")
+    c.add_argument("results")
+    c = sub.add_parser("baseline", help="new results over a baseline's, both JSON")
+    c.add_argument("current")
+    c.add_argument("baseline")
+    c.add_argument("output")
+    c = sub.add_parser("compare", help="two trackers on a wide table")
+    c.add_argument("input")
+    c = sub.add_parser("board", help="a shot's board as PNG")
+    c.add_argument("shots")
+    c.add_argument("keys", type=int, nargs=4, metavar="KEY", help="event, match, end, shot")
+    c.add_argument("output")
+    c = sub.add_parser("train", help="fit the model on samples and write its figures by epoch")
+    c.add_argument("samples")
+    c.add_argument("output")
+    c.add_argument("--epochs", type=int, default=30)
     c = sub.add_parser("links", help="books and summaries of saved result pages")
     c.add_argument("html")
     c.add_argument("output")
@@ -87,6 +109,29 @@ def main(args: list[str] | None = None) -> int:
         found = detection.regressions(tables.read_results(spark, a.current), tables.read_results(spark, a.baseline), tables.read_thresholds(spark, a.baseline))
         print(tables.markdown(found))
         return 1 if found.where("kind = 'REGRESSION'").count() else 0
+    elif a.command == "evaluate":
+        records = detection.crop_records(spark.read.parquet(a.truth), spark.read.parquet(a.detected))
+        records.write.mode("overwrite").parquet(a.output)
+        figures = detection.aggregate_records(spark.read.parquet(a.output), []).withColumn("filename", F.lit(Path(a.output).name))
+        Path(f"{a.output}.json").write_text(tables.baseline_json(figures, {}))
+        print(tables.markdown(figures))
+    elif a.command == "metrics":
+        results = tables.read_results(spark, a.results)
+        print(tables.markdown(results))
+        print(tables.markdown(results.agg(F.avg("f1").alias("avg_f1"), F.avg("ghost_recall").alias("avg_ghost_recall"))))
+    elif a.command == "baseline":
+        merged = detection.merge_baseline(tables.read_results(spark, a.current), tables.read_results(spark, a.baseline))
+        Path(a.output).write_text(tables.baseline_json(merged.orderBy("filename"), tables.read_thresholds(spark, a.baseline)))
+    elif a.command == "compare":
+        raw = tables.read(spark, a.input, schemas.shots_raw())
+        stones, boards = reshape.wide_to_long(raw), _boards(raw)
+        print(tables.markdown(metrics.compare(tracking.track(stones, boards, order=True), tracking.track(stones, boards, "optimal", order=True), boards)))
+    elif a.command == "board":
+        shot = tables.lookup_shot(tables.read(spark, a.shots, schemas.shots_raw()), *a.keys)
+        Path(a.output).write_bytes(images.board_images(reshape.wide_to_long(shot), shot.select(*SHOT)).first().png)
+    elif a.command == "train":
+        _, history = training.train(tables.read_samples(spark, a.samples), epochs=a.epochs)
+        Path(a.output).write_text(json.dumps(history, indent=2))
     else:
         html = pages.read_html(spark, a.html).select(F.xxhash64("path").alias("page_id"), "html")
         tables.write_csv(tables.books(pages.scrape(html).drop("page_id", "row_no"), a.min_year), a.output)

@@ -19,6 +19,7 @@ from .shared import cut, new_folder, settled
 from .sources import images as board
 from .sources import pages as page_source
 from .sources import tables
+from .streaming import tracker
 
 
 # ---- files --------------------------------------------------------------------
@@ -191,6 +192,18 @@ def batch_loop(v):
     return settled(v.spark.read.parquet(f"{folder}/done/*").select("event_id", "match_id", "n_shots", "attempts"), folder)
 
 
+@query("select event_id, match_id, count(*) as n_shots, count(distinct end_number) as n_ends from v_shots group by all")
+def match_emission(v):
+    """Shots written match by match as a stream reads their files."""
+    folder = new_folder(v.spark, "emission")
+    rows = v.shots.select(*SHOT, "team_code")
+    rows.repartition(24, "event_id", "match_id").write.parquet(f"{folder}/in")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    got = tracker.emit_matches(v.spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/state", files_per_batch=8)
+    out = got.groupBy(F.col("event_id").cast("bigint").alias("event_id"), F.col("match_id").cast("bigint").alias("match_id"))
+    return settled(out.agg(F.count("*").alias("n_shots"), F.count_distinct("end_number").alias("n_ends")), folder)
+
+
 # ---- images ---------------------------------------------------------------------
 
 

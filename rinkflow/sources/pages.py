@@ -19,6 +19,27 @@ def read_html(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("html"))
 
 
+def fetch_pages(urls: DataFrame, timeout: float = 30.0, agent: str = "Mozilla/5.0") -> DataFrame:
+    """(url, html, error) of every row of ``urls(url)``, fetched on the executors; bytes that are no UTF-8 are replaced.
+
+    A page that can't be fetched has its error and no text.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from urllib.request import Request, urlopen
+
+        for batch in batches:
+            for url in batch.column(0).to_pylist():
+                html, error = None, None
+                try:
+                    with urlopen(Request(url, headers={"User-Agent": agent}), timeout=timeout) as answer:
+                        html = answer.read().decode("utf-8", errors="replace")
+                except (OSError, ValueError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in (url, html, error)], ["url", "html", "error"])
+
+    return urls.select(F.col("url").cast("string").alias("url")).mapInArrow(run, "url string, html string, error string")
+
+
 def read_documents(spark: SparkSession, path: str, decode: Callable[[bytes], list[dict]]) -> DataFrame:
     """Pages of binary files, one file per task: ``decode`` gives a dict of text, words and images per page.
 
