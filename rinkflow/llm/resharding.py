@@ -96,7 +96,9 @@ def choose_blocks(blocks: list[tuple[int, int, int]], flow: list[list[int]], cap
     inside: list[set] = [set() for _ in capacity]
     for key, j in place.items():
         inside[j].add(key)
-    for _ in range(20_000):  # small blocks go from the fullest to the emptiest shard while that evens them out
+    # small blocks go from the fullest to the emptiest shard while that evens them out; each step lessens the
+    # sum of squares, and a block that has no better place isn't moved, so a step for each block and pair of shards is ample
+    for _ in range(len(blocks) * len(capacity) ** 2 + 1):
         over = [h - c for h, c in zip(held, capacity, strict=True)]
         a, b = max(range(len(over)), key=over.__getitem__), min(range(len(over)), key=over.__getitem__)
         gap = over[a] - over[b]

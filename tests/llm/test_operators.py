@@ -166,6 +166,19 @@ def test_packing_is_a_round_trip(spark, corpus):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_both_tokenizers_agree_below_the_bound():
+    """Texts of all characters that the fast way takes, singly, in runs and at random, give the same ids."""
+    enc, r = packing.encoder(), random.Random(17)
+    letters = [chr(i) for i in range(0x250)]
+    texts_ = letters + [c * 3 for c in letters] + [f"a{c}b {c}1{c} \n{c}" for c in letters]
+    texts_ += ["".join(r.choice(letters) for _ in range(r.randint(1, 60))) for _ in range(3000)]
+    texts_ += ["".join(r.choice("aé Ü1,'\t\n  ß’s"[:-2] + "ls") for _ in range(80)) for _ in range(1000)]
+    fast = [t for t in texts_ if not enc.other(t)]
+    assert enc.fast is not None and len(fast) > 5000
+    for t in fast:
+        assert enc.encode(t).tolist() == enc.full.encode(t, add_special_tokens=False).ids
+
+
 def test_class_pieces():
     for n in range(1, 5000):
         got = packing.class_pieces(n)
@@ -282,6 +295,12 @@ def test_resharding_laws(spark, corpus, tmp_path):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     mean = sum(size.values()) / 4
     assert max(abs(s - mean) for s in size.values()) < 0.6 * max(r.size for r in rows)
+    # hardly more bytes move than the old sizes and the new capacities ask for
+    before = {}
+    for r in rows:
+        before[r.old_shard] = before.get(r.old_shard, 0) + r.size
+    floor = sum(before.values()) - sum(min(x, mean) for x in before.values())
+    assert sum(r.size for r in rows if r.shard != r.old_shard) <= 1.02 * floor + 2 * max(r.size for r in rows)
     known = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     dealt = resharding.reshard(known, 3, 4)
     shards = resharding.rewrite_affected(known, dealt, str(tmp_path / "out"))
