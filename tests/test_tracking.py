@@ -15,6 +15,15 @@ BOARD = "event_id bigint, match_id bigint, end_number int, shot_number int"
 T = 0.13
 
 
+A, B, C = [(-0.62, 1.14)], [(0.31, -0.27)], [(1.07, 2.36)]
+
+
+def _moved(stone, by):
+    """A stone moved along a slope."""
+    (x, y), = stone
+    return [(x + by * 0.6, y - by * 0.8)]
+
+
 def _boards(spark, *ends):
     """Ends of shots; a shot is {team: [(x, y), ...]}."""
     stones, boards = [], []
@@ -34,13 +43,13 @@ def _ids(spark, *ends, method="greedy"):
 @pytest.mark.parametrize(
     ("shots", "want"),
     [
-        ([{1: [(0.1, 0.2), (0.5, 0.5)]}], {(1, 1): 1, (1, 2): 2}),
-        ([{1: [(0.1, 0.2)]}, {1: [(0.1, 0.2), (0.8, 0.0)]}], {(2, 1): 1, (2, 2): 2}),
-        ([{1: [(0.0, 0.0), (0.5, 0.5)]}, {1: [(0.5, 0.5)]}], {(2, 1): 2}),
-        ([{1: [(0.0, 0.0)]}, {1: [(0.0, T + 0.05)]}], {(2, 1): 2}),
-        ([{1: [(0.0, 0.0)]}, {1: [(0.0, T - 0.01)]}], {(2, 1): 1}),
-        ([{1: [(0.0, 0.0), (0.2, 0.0)]}, {1: [(0.19, 0.0), (0.01, 0.0)]}], {(2, 1): 2, (2, 2): 1}),
-        ([{1: [(0.0, 0.0)]}, {}, {1: [(0.0, 0.0)]}], {(3, 1): 2}),
+        ([{1: A + B}], {(1, 1): 1, (1, 2): 2}),
+        ([{1: B}, {1: C + B}], {(2, 1): 2, (2, 2): 1}),  # the new stone takes the first slot
+        ([{1: A + B + C}, {1: C}, {1: C + A}], {(2, 1): 3, (3, 1): 3, (3, 2): 4}),
+        ([{1: A}, {1: _moved(A, T * 1.25)}], {(2, 1): 2}),
+        ([{1: A}, {1: _moved(A, T * 0.75)}], {(2, 1): 1}),
+        ([{1: A + _moved(A, 2 * T)}, {1: _moved(A, 1.9 * T) + _moved(A, 0.1 * T)}], {(2, 1): 2, (2, 2): 1}),
+        ([{1: B}, {2: C}, {1: B}], {(3, 1): 3}),
     ],
 )
 def test_identities(spark, method, shots, want):
@@ -49,19 +58,20 @@ def test_identities(spark, method, shots, want):
 
 
 def test_teams_share_the_counter_and_ends_reset_it(spark):
-    got = _ids(spark, [{1: [(0, 0)], 2: [(1, 1)]}, {1: [(0, 0), (2, 2)], 2: [(1, 1)]}], [{2: [(1, 1)]}])
+    got = _ids(spark, [{1: A, 2: B}, {1: A + C, 2: B}], [{2: B}])
     assert got[1, 1, 1, 1][0] == 1 and got[1, 1, 2, 1][0] == 2 and got[1, 2, 1, 2][0] == 3 and got[2, 1, 2, 1][0] == 1
 
 
 def test_delivered_flag(spark):
-    got = _ids(spark, [{1: [(0, 0)]}, {1: [(0, 0)], 2: [(1, 1)]}, {1: [(0, 0)], 2: [(1, 1)]}])
+    got = _ids(spark, [{1: B}, {1: B, 2: C}, {1: B, 2: C}])
     assert got[1, 1, 1, 1][2] is None
     assert got[1, 2, 2, 1][2] == 1.0 and got[1, 2, 1, 1][2] == 0.0
     assert got[1, 3, 1, 1][2] is None
 
 
 def test_greedy_is_not_optimal(spark):
-    shots = [{1: [(0.0, 0.0), (0.10, 0.0)]}, {1: [(0.09, 0.0), (0.20, 0.0)]}]
+    # the second stone lies nearest to the first new place, and only it reaches the second one
+    shots = [{1: C + _moved(C, 0.8 * T)}, {1: _moved(C, 0.7 * T) + _moved(C, 1.5 * T)}]
     greedy, optimal = _ids(spark, shots), _ids(spark, shots, method="optimal")
     assert [greedy[1, 2, 1, k][0] for k in (1, 2)] == [2, 3]
     assert [optimal[1, 2, 1, k][0] for k in (1, 2)] == [1, 2]
