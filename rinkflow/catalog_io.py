@@ -207,12 +207,16 @@ def match_emission(v):
 # ---- images ---------------------------------------------------------------------
 
 
-@query(f"""select {KEYS}, {board.WIDTH} as width, {board.HEIGHT} as height, count(s.x) as n_stones,
-count(*) filter (where floor((s.x + 1.44::double) * 112 + 0.5) between 0 and {board.WIDTH - 1} and floor((s.y + 1.53::double) * 112 + 0.5) between 0 and {board.HEIGHT - 1}) as n_drawn
+_UNIT = 28
+_WIDTH, _HEIGHT = board.extent(_UNIT)
+
+
+@query(f"""select {KEYS}, {_WIDTH} as width, {_HEIGHT} as height, count(s.x) as n_stones,
+count(*) filter (where floor((s.x + 1.44::double) * {_UNIT} + 0.5) between 0 and {_WIDTH - 1} and floor((s.y + 1.53::double) * {_UNIT} + 0.5) between 0 and {_HEIGHT - 1}) as n_drawn
 from v_boards b left join v_stones s using ({KEYS}) group by {KEYS}""")
 def board_images(v):
-    """Each board's PNG, decoded again: its size, and how many of the stones on it show a stone's colour at their centre."""
-    drawn = board.board_images(_stones(v), v.boards).join(_stones(v).groupBy(*SHOT).agg(F.collect_list(F.struct("x", "y")).alias("s")), SHOT, "left")
+    """Each board's PNG, at a quarter of its size, decoded again: its extent, and how many of the stones on it show a stone's colour at their centre."""
+    drawn = board.board_images(_stones(v), v.boards, _UNIT).join(_stones(v).groupBy(*SHOT).agg(F.collect_list(F.struct("x", "y")).alias("s")), SHOT, "left")
 
     def look(batches):
         for batch in batches:
@@ -220,7 +224,7 @@ def board_images(v):
             for data, stones in zip(batch.column(4), batch.column(5).to_pylist(), strict=True):
                 image, seen = board.read_png(data.as_py()), 0
                 for s in stones or []:
-                    cx, cy = (math.floor(c + 0.5) for c in board.pixel(s["x"], s["y"]))
+                    cx, cy = (math.floor(c + 0.5) for c in board.pixel(s["x"], s["y"], _UNIT))
                     if 0 <= cx < image.shape[1] and 0 <= cy < image.shape[0]:
                         seen += (*image[cy, cx].tolist(),) in {*board.STONE_COLOURS.values(), (20, 20, 20)}
                 rows.append((image.shape[1], image.shape[0], len(stones or []), int(seen)))
