@@ -17,10 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import cut
+from . import textkernel as tk
 from ._util import group_bounds, own_shuffle, partitions, whole_groups
 from .graph import connected_components
 
@@ -170,6 +172,35 @@ def _matcher(shared, threshold: float, reach: float):
     return match
 
 
+PREPARED = "vec_id long, label int, d1 long, d2 long, v array<double>"
+
+
+def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unit vectors and a digest of 128 bits of the given numbers, which equal vectors share; null where a row can't link."""
+    for batch in batches:
+        ids, lists, labels = batch.columns
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        x = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)[offsets[0] : offsets[-1]]  # a null is not-a-number
+        n = np.diff(offsets)
+        row = np.repeat(np.arange(len(n)), n)
+        sound = (n > 0) & np.logical_and.reduce([np.asarray(c.is_valid().to_numpy(zero_copy_only=False), bool) for c in (ids, lists, labels)])
+        sound &= (np.bincount(row, weights=~np.isfinite(x), minlength=len(n)) == 0) & (np.bincount(row, weights=x != 0, minlength=len(n)) > 0)
+        y, size = x[sound[row]] + 0.0, n[sound]  # minus zero is zero
+        heads = np.cumsum(size) - size
+        digest = np.zeros((2, len(n)), np.int64)
+        if len(size):
+            # a scale first, so that no square overflows
+            scaled = y / np.repeat(np.maximum.reduceat(np.abs(y), heads), size)
+            unit = scaled / np.repeat(np.sqrt(np.add.reduceat(scaled * scaled, heads)), size)
+            found = [xxhash.xxh3_128_intdigest(y[i : i + k].data) for i, k in zip(heads.tolist(), size.tolist(), strict=True)]
+            digest[:, sound] = np.array([[f >> 64, f & (2**64 - 1)] for f in found], np.uint64).T.view(np.int64)
+        else:
+            unit = y
+        ends = np.concatenate([[0], np.cumsum(np.where(sound, n, 0))]).astype(np.int32)
+        v = pa.ListArray.from_arrays(pa.array(ends), pa.array(unit), mask=pa.array(~sound))
+        yield pa.RecordBatch.from_arrays([ids, labels, *(pa.array(d, mask=~sound) for d in digest), v], ["vec_id", "label", "d1", "d2", "v"])
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors(vec_id, embedding, label, ...)``.
 
@@ -184,24 +215,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     The quantisers are fitted on the ``SAMPLE`` vectors of smallest hash (of
     each dimension); every vector is indexed and searched.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"), F.col("label").cast("int").alias("label"))
-    # a scale first, so that no square overflows
-    peak = F.array_max(F.transform("e", F.abs))
-    sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("e").isNotNull() & (F.size("e") > 0)
-    sound = sound & ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0)
-    keyed = rows.withColumn("e", F.when(sound, F.transform("e", lambda x: x + F.lit(0.0))))
-    groups = keyed.where("e is not null").groupBy("label", "e").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
-    scaled = groups.withColumn("s", F.transform("e", lambda x: x / peak))
-    norm = F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, x: a + x * x))
-    unit = cut(scaled.withColumn("n", norm).select("label", "rep", F.size("e").alias("width"), "weight", F.transform("s", lambda x: x / F.col("n")).alias("v"), "e"))
+    keyed = cut(rows.mapInArrow(tk.lean(_prepare), PREPARED))
+    same = ["label", "d1", "d2"]
+    unit = cut(keyed.where("v is not null").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("v").alias("v")).withColumn("width", F.size("v")))
     found = _links(unit, threshold)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("rep <> to").select(F.col("rep").alias("src"), F.col("to").alias("dst"))).select(F.col("id").alias("rep"), "component")
-    by_rep = unit.select("label", "e", "rep", "weight").join(links, "rep", "left").join(parts, "rep", "left")
-    by_rep = by_rep.select("label", "e", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))
-    alone = keyed.where("e is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    linked = keyed.where("e is not null").join(by_rep, ["label", "e"]).select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"))
+    by_rep = unit.select(*same, "rep", "weight").join(links, "rep", "left").join(parts, "rep", "left")
+    by_rep = by_rep.select(*same, (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "rep").alias("c"))
+    alone = keyed.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    linked = keyed.where("v is not null").select("vec_id", *same).join(by_rep, same).select("vec_id", F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
