@@ -31,8 +31,6 @@ def _rows(rows, order):
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_query_equals_sql(spark, sf_dir, con, name):
-    if name == "stream_tracker":
-        pytest.skip("covered on a fixture in test_streaming")
     df = catalog.QUERIES[name](spark, sf_dir)
     names = sorted(df.columns)
     cursor = con.execute(catalog.ORACLE_SQL[name])
