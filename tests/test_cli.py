@@ -47,3 +47,46 @@ def test_regress(spark, tmp_path, capsys):
     (tmp_path / "was.json").write_text(json.dumps({"thresholds": {"max_f1_regression": 20.0}, "results": [{"filename": "a", "f1": 99.0}]}))
     assert main(["regress", str(tmp_path / "now.json"), str(tmp_path / "was.json")]) == 0
     assert "min_f1" in capsys.readouterr().out
+
+
+def test_results_commands(spark, sf_dir, tmp_path, capsys):
+    """Detections to figures, figures merged with a baseline and printed."""
+    from rinkflow import catalog
+
+    v = catalog.Views(spark, sf_dir)
+    for name, df in (("truth", v.truth), ("found", v.detected)):
+        df.where("event_id = 3").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert main(["evaluate", f"{tmp_path}/truth.parquet", f"{tmp_path}/found.parquet", f"{tmp_path}/records"]) == 0
+    figures = json.loads((tmp_path / "records.json").read_text())["results"]
+    assert len(figures) == 1 and figures[0]["filename"] == "records" and 0 < figures[0]["f1"] < 100
+    (tmp_path / "old.json").write_text(json.dumps({"thresholds": {"min_f1": 90.0}, "results": [{"filename": "records", "f1": 50.0}, {"filename": "other", "f1": 70.0, "ghost_recall": 60.0}]}))
+    assert main(["baseline", f"{tmp_path}/records.json", f"{tmp_path}/old.json", f"{tmp_path}/new.json"]) == 0
+    new = json.loads((tmp_path / "new.json").read_text())
+    assert new["thresholds"] == {"min_f1": 90.0}
+    assert {r["filename"]: r["f1"] for r in new["results"]} == {"other": 70.0, "records": figures[0]["f1"]}
+    capsys.readouterr()
+    assert main(["metrics", f"{tmp_path}/new.json"]) == 0
+    said = capsys.readouterr().out
+    assert "| other | 70.0000 |" in said and "avg_f1" in said
+
+
+def test_board_compare_and_train(spark, sf_dir, tmp_path, capsys):
+    from rinkflow import catalog
+    from rinkflow.operators import features, graph, reshape
+    from rinkflow.sources import images, tables
+
+    v = catalog.Views(spark, sf_dir)
+    some = v.boards.where("match_id % 40 = 1")
+    wide = reshape.long_to_wide(catalog._stones(v).where("match_id % 40 = 1"), some)
+    wide.write.parquet(f"{tmp_path}/wide.parquet")
+    assert main(["compare", f"{tmp_path}/wide.parquet"]) == 0
+    assert "link_agreement_rate" in capsys.readouterr().out
+    shot = wide.where("team1_stones_in_play > 1").first()
+    assert main(["board", f"{tmp_path}/wide.parquet", *(str(shot[k]) for k in ("event_id", "match_id", "end_number", "shot_number")), f"{tmp_path}/board.png"]) == 0
+    image = images.read_png((tmp_path / "board.png").read_bytes())
+    assert image.shape == (*images.extent()[::-1], 3) and (image != images.house()).any()
+    shots = features.load_and_filter(features.enrich(v.counted, v.known_ends).drop("team1_code", "team2_code"), v.known_ends, v.events)
+    samples = graph.samples(shots.where("match_id % 40 = 1"), v.known, v.events).withColumn("split", F.when(F.col("end_number") == 1, "val").otherwise("train"))
+    tables.write_samples(samples, f"{tmp_path}/samples")
+    assert main(["train", f"{tmp_path}/samples", f"{tmp_path}/history.json", "--epochs", "1"]) == 0
+    assert json.loads((tmp_path / "history.json").read_text())[0]["epoch"] == 1
