@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import schemas
-from .catalog import KEYS, METRIC_SQL, TRACKED_SQL, Views, _stones, _tracked, query
+from .catalog import _COUNTED, KEYS, METRIC_SQL, TRACKED_SQL, Views, _stones, _tracked, query
 from .constants import SHOT
 from .functions import text
 from .operators import detection, dims, learning, metrics, reshape, tracking
@@ -235,6 +235,44 @@ def board_images(v):
     return drawn.select(*SHOT, "png", "s").mapInArrow(look, f"{keys}, width int, height int, n_stones long, n_drawn long")
 
 
+@query(f"""select {KEYS}, count(prev_x) filter (where sqrt((x - prev_x) * (x - prev_x) + (y - prev_y) * (y - prev_y)) > 0.35 and least(x, prev_x) > -1.3 and greatest(x, prev_x) < 1.3 and least(y, prev_y) > -1.4 and greatest(y, prev_y) < 4.4) > 0 as moved
+from v_known group by {KEYS}""")
+def move_images(v):
+    """Whether each tracked board's image, decoded again, shows a line of a stone that moved far on it."""
+    far = F.sqrt((F.col("x") - F.col("prev_x")) ** 2 + (F.col("y") - F.col("prev_y")) ** 2) > 0.35
+    inside = (F.least("x", "prev_x") > -1.3) & (F.greatest("x", "prev_x") < 1.3) & (F.least("y", "prev_y") > -1.4) & (F.greatest("y", "prev_y") < 4.4)
+    # other stones' places before are left out, so that a line tells of a far move
+    seen = v.known.select(*SHOT, "team", "slot", "x", "y", *(F.when(far & inside, F.col(c)).alias(c) for c in ("prev_x", "prev_y")))
+    drawn = board.move_images(seen, _UNIT)
+
+    def look(batches):
+        for batch in batches:
+            found = [bool((board.read_png(data.as_py()) == board.MOVED).all(-1).any()) for data in batch.column(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.bool_())], [*SHOT, "moved"])
+
+    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in drawn.select(*SHOT).schema)
+    return drawn.mapInArrow(look, f"{keys}, moved boolean")
+
+
+@query(f"""select {KEYS}, count(*) filter (where tp > 0) > 0 as matched, count(*) filter (where fn > 0) > 0 as missed from {_COUNTED}
+join (select {KEYS} from (select {KEYS}, x, y from v_truth union all select {KEYS}, x, y from v_detected) group by {KEYS} having bool_and(abs(x) < 1.2 and y > -1.2 and y < 4.2)) using ({KEYS}) group by {KEYS}""")
+def match_images(v):
+    """Whether the images of true and detected stones, decoded again, show rings of matched and of missed ones; of shots whose stones all lie on them."""
+    on = v.truth.select(*SHOT, "x", "y").unionByName(v.detected.select(*SHOT, "x", "y")).groupBy(*SHOT).agg(F.bool_and((F.abs("x") < 1.2) & (F.col("y") > -1.2) & (F.col("y") < 4.2)).alias("on")).where("on")
+    keys = [*SHOT, "colour", "is_ghost"]
+    sets = detection.match_sets(v.truth, v.detected, keys, places=True)
+    drawn = board.match_images(sets.join(on.select(*SHOT), SHOT, "left_semi"), _UNIT)
+
+    def look(batches):
+        for batch in batches:
+            images = [board.read_png(data.as_py()) for data in batch.column(4)]
+            rings = [[bool((image == c).all(-1).any()) for image in images] for c in (board.MATCHED, board.MISSED)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(pa.array(r, pa.bool_()) for r in rings)], [*SHOT, "matched", "missed"])
+
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in drawn.select(*SHOT).schema)
+    return drawn.mapInArrow(look, f"{names}, matched boolean, missed boolean").groupBy(*SHOT).agg(F.bool_or("matched").alias("matched"), F.bool_or("missed").alias("missed"))
+
+
 @query("""select page_id, image_id, x1 - x0 > 50 and bottom - top > 100 as is_shot, x1 - x0 > 15 and x1 - x0 < 55 and bottom - top > 15 and bottom - top < 55 and abs((x1 - x0) - (bottom - top)) < 10 as is_indicator,
 cast(trunc(x0 * (300::double / 72)) as integer) as x0_px, cast(trunc(bottom * (300::double / 72)) as integer) as bottom_px from v_boxes""")
 def image_boxes(v):

@@ -53,15 +53,16 @@ aggregate(
 """
 
 
-def match_sets(truth: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+def match_sets(truth: DataFrame, found: DataFrame, keys: list[str], places: bool = False) -> DataFrame:
     """Greedy one-to-one pairs within ``MATCH_RADIUS``, by group: pairs, n_gt, n_det, tp, fp, fn.
 
-    Rows are numbered by (dist, x, y) in each group.
+    Rows are numbered by (dist, x, y) in each group; with ``places`` the numbered
+    rows gt and det come along.
     """
     row = F.struct("dist", "x", "y")
     both = truth.select(*keys, row.alias("g"), F.lit(None).cast("struct<dist:double,x:double,y:double>").alias("c")).unionByName(found.select(*keys, F.lit(None).cast("struct<dist:double,x:double,y:double>").alias("g"), row.alias("c")))
     sets = both.groupBy(*keys).agg(F.array_sort(F.collect_list("g")).alias("gt"), F.array_sort(F.collect_list("c")).alias("det"))
-    out = sets.select(*keys, F.size("gt").cast("bigint").alias("n_gt"), F.size("det").cast("bigint").alias("n_det"), F.expr(_PAIRS).alias("pairs"))
+    out = sets.select(*keys, *(("gt", "det") if places else ()), F.size("gt").cast("bigint").alias("n_gt"), F.size("det").cast("bigint").alias("n_det"), F.expr(_PAIRS).alias("pairs"))
     tp = F.size("pairs").cast("bigint")
     return out.withColumns({"tp": tp, "fp": F.col("n_det") - tp, "fn": F.col("n_gt") - tp})
 
