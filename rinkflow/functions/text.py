@@ -6,6 +6,7 @@ of Unicode (a no-break space separates words).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -31,22 +32,33 @@ def _last(items: Column) -> Column:
     return F.try_element_at(items, F.lit(-1))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it stands there."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _team(words: Column) -> Column:
     """Struct(code, name, before, points) of words like ``SUI - Switzerland 1 + 0``; null if they aren't."""
-    sides = F.split(words, r"(?U)\s*\+\s*(?=[^+]*$)")
-    points, left = sides[1], F.split(sides[0], r"(?U)\s+(?=\S+$)")
-    before, names = left[1], F.split(left[0], r"(?U)\s*-\s*", 2)
-    whole = (F.size(sides) == 2) & (F.size(left) == 2) & (F.size(names) == 2)
-    return F.when(
-        whole & before.rlike(r"(?U)^\d+$") & points.rlike(r"(?U)^(\d+|X)$") & names[0].rlike(r"(?U)^\w+$") & (names[1] != ""),
-        F.struct(names[0].alias("code"), strip(names[1]).alias("name"), before.try_cast("int").alias("before"), points.alias("points")),
-    )
+    def found(sides: Column, left: Column, names: Column) -> Column:
+        points, before = F.get(sides, F.lit(1)), F.get(left, F.lit(1))
+        code, name = F.get(names, F.lit(0)), F.get(names, F.lit(1))
+        whole = before.rlike(r"(?U)^\d+$") & points.rlike(r"(?U)^(\d+|X)$") & code.rlike(r"(?U)^\w+$") & (name != "")
+        return F.when(whole, F.struct(code.alias("code"), strip(name).alias("name"), before.try_cast("int").alias("before"), points.alias("points")))
+
+    def parted(sides: Column) -> Column:
+        left = F.split(F.get(sides, F.lit(0)), r"(?U)\s+(?=\S+$)")
+        return _let(left, lambda x: _let(F.split(F.get(x, F.lit(0)), r"(?U)\s*-\s*", 2), lambda names: found(sides, x, names)))
+
+    return _let(F.split(words, r"(?U)\s*\+\s*(?=[^+]*$)"), parted)
 
 
 def _after_equals(text: Column) -> Column:
     """Struct(score, rest) of text like ``= 1 SWE - Sweden``; null if no number follows."""
-    parts = F.split(strip(F.substring(strip(text), 2, 1 << 30)), r"(?U)(?<=^\d{1,9})(?!\d)\s*", 2)
-    return F.when(F.startswith(strip(text), F.lit("=")) & parts[0].rlike(r"(?U)^\d+$"), F.struct(parts[0].try_cast("int").alias("score"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("rest")))
+    def found(t: Column) -> Column:
+        score = F.regexp_extract(t, r"(?U)^=\s*(\d+)", 1)
+        return F.when(score != "", F.struct(score.try_cast("int").alias("score"), strip(F.regexp_replace(t, r"(?U)^=\s*\d+", "")).alias("rest")))
+
+    return _let(strip(text), found)
 
 
 def parse_end_line(text: Column) -> Column:
@@ -56,21 +68,30 @@ def parse_end_line(text: Column) -> Column:
     team's words stand before the first one, the first team's new score and the
     other team's words between them, and the other team's new score after them.
     """
-    pieces = F.split(text, r"\(this end\)", 3)
-    head = F.split(strip(F.element_at(F.split(F.get(pieces, F.lit(0)), r"(?U)End\s+(?=\d)"), -1)), r"(?U)\s+", 2)
-    middle, last = _after_equals(F.get(pieces, F.lit(1))), _after_equals(F.get(pieces, F.lit(2)))
-    first, second = _team(F.get(head, F.lit(1))), _team(strip(middle.rest))
-    named = F.get(pieces, F.lit(0)).rlike(r"(?U)End\s+\d") & head[0].rlike(r"(?U)^\d+$")
-    parts = [head[0].try_cast("int").alias("end_number")]
-    for t, team, after in ((1, first, middle.score), (2, second, last.score)):
-        parts += [
-            team.code.alias(f"team{t}_code"),
-            team["name"].alias(f"team{t}_name"),
-            team.before.alias(f"team{t}_score_before"),
-            team.points.alias(f"team{t}_score_this_end"),
-            after.alias(f"team{t}_score_after"),
-        ]
-    return F.when((F.size(pieces) == 3) & named & first.isNotNull() & second.isNotNull() & middle.isNotNull() & last.isNotNull(), F.struct(*parts))
+    def line(p: Column) -> Column:
+        head = F.split(strip(F.element_at(F.split(p[0], r"(?U)End\s+(?=\d)"), -1)), r"(?U)\s+", 2)
+        return _let(F.struct(head.alias("head"), _after_equals(p[1]).alias("middle"), _after_equals(p[2]).alias("last"), p[0].rlike(r"(?U)End\s+\d").alias("named")), teams)
+
+    def teams(s: Column) -> Column:
+        return _let(F.struct(_team(F.get(s.head, F.lit(1))).alias("first"), _team(s.middle.rest).alias("second")), lambda t: whole(s, t))
+
+    def whole(s: Column, t: Column) -> Column:
+        number = F.get(s.head, F.lit(0))
+        parts = [number.try_cast("int").alias("end_number")]
+        for k, team, after in ((1, t.first, s.middle.score), (2, t.second, s.last.score)):
+            parts += [
+                team.code.alias(f"team{k}_code"),
+                team["name"].alias(f"team{k}_name"),
+                team.before.alias(f"team{k}_score_before"),
+                team.points.alias(f"team{k}_score_this_end"),
+                after.alias(f"team{k}_score_after"),
+            ]
+        there = s.named & number.rlike(r"(?U)^\d+$") & t.first.isNotNull() & t.second.isNotNull() & s.middle.isNotNull() & s.last.isNotNull()
+        return F.when(there, F.struct(*parts))
+
+    # a text without both marks has no line, and most have none
+    marked = F.when(text.contains("(this end)"), F.split(text, r"\(this end\)", 3))
+    return _let(marked, lambda p: F.when(F.size(p) == 3, line(p)))
 
 
 def _dated(line: Column) -> Column:
