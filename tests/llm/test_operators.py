@@ -207,11 +207,29 @@ def test_minhash_equals_brute_force(spark, corpus, percent):
 
 
 def test_minhash_in_blocks(spark, corpus, monkeypatch):
+    monkeypatch.setattr(minhash, "BUCKET", 4)
     monkeypatch.setattr(minhash, "BLOCK", 300)
     test_minhash_equals_brute_force(spark, corpus, 85)
     assert minhash.near_duplicates(frame(spark, corpus).limit(0)).count() == 0
 
 
+def test_near_groups_join_what_can_link():
+    """Signatures join across unlike sides only, where there are two, and never beyond reach."""
+    r = np.random.default_rng(6)
+    sets = [np.unique(r.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(3)]
+    near = [np.sort(np.concatenate([s[:-k], r.integers(0, 1 << 62, k).astype(np.uint64)])) for s in sets for k in (3, 6)]
+    values = sets + near
+    ptr = np.concatenate([[0], np.cumsum([len(v) for v in values])])
+    sig = np.ascontiguousarray(minhash.packed_bits(minhash.minima(np.concatenate(values), ptr, minhash.BANDS * minhash.ROWS))).view(np.uint64)
+    size, one = np.diff(ptr), np.zeros(9, np.int8)
+    label = minhash.near_group(sig, size, one, 85)
+    assert [label.tolist().index(x) for x in label] == [0, 1, 2, 0, 0, 1, 1, 2, 2]
+    side = one.copy()
+    side[[3, 4]] = 1  # of the first set's copies only those of unlike sides are compared
+    label = minhash.near_group(sig, size, side, 85)
+    assert label[0] == label[3] == label[4] and label[1] != label[5]
+
+
 def test_bit_estimate_is_close():
     from rinkflow.llm import textkernel as tk
 
