@@ -205,3 +205,23 @@ def test_images_are_not_shuffled(spark, sf_dir):
         lines = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines()
         drawn = next(i for i, x in enumerate(lines) if "run(" in x)
         assert not any("Exchange" in x for x in lines[:drawn])
+
+
+def test_images_painted_together_equal_those_painted_alone():
+    from rinkflow.sources import images
+
+    rng = np.random.default_rng(3)
+    boards = [[(int(t), x, y, *((0.2, y) if k % 3 == 0 else (None, None))) for k, (t, x, y) in enumerate(zip(rng.integers(1, 3, n), rng.uniform(-1.6, 1.6, n), rng.uniform(-1.7, 4.7, n), strict=True))] for n in (0, 1, 8, 5)]
+    sets = [([s[1:3] for s in b], [(x + 0.05, y) for _, x, y, *_ in b], [(i, i) for i in range(0, len(b), 2)]) for b in boards]
+    empty = images.house(28)
+    for paint, values in ((images.draw_boards, boards), (images.draw_moves, boards), (images.draw_matches, sets)):
+        together = np.repeat(empty[None], len(values), axis=0)
+        paint(together, values, 28)
+        for image, value in zip(together, values, strict=True):
+            alone = empty[None].copy()
+            paint(alone, [value], 28)
+            assert (image == alone[0]).all()
+            assert (images.read_png(images.png(image)) == image).all()
+    # a later stone lies above an earlier one
+    top = images.draw([(1, 0.0, 0.0), (2, 0.0, 0.0)], 28)
+    assert images.shows(top, images.STONE_COLOURS[2]) and not images.shows(top, images.STONE_COLOURS[1])
