@@ -20,14 +20,15 @@ def same(a: Column, b: Column) -> Column:
     return F.coalesce(a == b, F.lit(False))
 
 
-def enrich(shots: DataFrame, ends: DataFrame) -> DataFrame:
+def enrich(shots: DataFrame, ends: DataFrame, end: list[str] = END) -> DataFrame:
     """Context of the end on each shot: hammer, clocks, score before and its difference.
 
     A shot without an end keeps nulls, but its two booleans are false.  Ends
-    must be unique; ``duplicate_ends`` tells.
+    must be unique; ``duplicate_ends`` tells.  ``end`` may name further columns
+    that an end has one value of, as those that the tables lie by.
     """
-    slim = ends.select(*END, *CONTEXT)
-    out = shots.join(slim, END, "left")
+    slim = ends.select(*end, *CONTEXT)
+    out = shots.join(slim, end, "left")
     out = out.withColumns({
         "shooting_team_is_team1": same(F.col("team_code"), F.col("team1_code")),
         "shooting_team_has_hammer": same(F.col("team_code"), F.col("hammer_team_code")),
@@ -40,11 +41,11 @@ def duplicate_ends(ends: DataFrame) -> DataFrame:
     return ends.groupBy(*END).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def load_and_filter(shots: DataFrame, ends: DataFrame, events: DataFrame) -> DataFrame:
+def load_and_filter(shots: DataFrame, ends: DataFrame, events: DataFrame, end: list[str] = END) -> DataFrame:
     """Shots with the end's scores, without mixed doubles, conceded ends and empty boards."""
-    labels = ends.select(*END, "team1_code", "team2_code", *(number(F.col(f"team{t}_score_this_end")).alias(f"team{t}_score_this_end") for t in (1, 2)))
+    labels = ends.select(*end, "team1_code", "team2_code", *(number(F.col(f"team{t}_score_this_end")).alias(f"team{t}_score_this_end") for t in (1, 2)))
     mixed = events.where(F.col("gender") == MIXED_DOUBLES).select("event_id")
-    joined = shots.join(labels, END, "left").join(mixed, "event_id", "left_anti")
+    joined = shots.join(labels, end, "left").join(mixed, "event_id", "left_anti")
     return joined.where("team1_score_this_end is not null").where("team1_stones_in_play + team2_stones_in_play > 0")
 
 

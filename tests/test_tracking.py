@@ -1,6 +1,7 @@
 """The tracker on small boards: matching, ties, counters, odd inputs; and the two methods against each other."""
 
 import itertools
+import re
 
 import numpy as np
 import pytest
@@ -240,3 +241,13 @@ def test_compared_trackings_are_kept_as_columns(spark, monkeypatch):
     row = metrics.compare(tracking.track(stones, boards, order=True), tracking.track(stones, boards, "optimal"), boards).first()
     assert row.link_agreement_rate == 1.0 and row.spurious_id_rate_improvement == 0.0 and cuts == [1]
     assert not any(x.startswith("trackers-") for x in os.listdir(shared.shared_folder(spark)))
+
+
+def test_inference_moves_no_stone_for_samples(spark, sf_dir):
+    """Stones and shots lie by order, so of their tables only the order's keys are hashed, and boards aren't dealt again."""
+    from rinkflow import catalog
+
+    plan = catalog.QUERIES["model_inference"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan
+    moved = set(re.findall(r"hashpartitioning\((\w+)#", plan))
+    assert "okey" in moved and not moved & {"event_id", "end_number", "shot_number"}, moved
