@@ -623,6 +623,56 @@ def test_edited_passages_are_found(spark):
     assert len(want) > 60 and len(want - got) == 0
 
 
+def test_common_seeds_meet_all_documents(spark):
+    """Passages of lines too common to join in full, whose seeds' first and latest places stand in documents without them."""
+    a, b, c = (prose(n, 9100 + n) for n in (17, 18, 16))
+    rows, want = [], set()
+    for i in range(140):  # each line alone, before, between and after the documents with the passage
+        rows += [(10 * i + k, f"{prose(40, 91_000 + 10 * i + k)} {x} {prose(40, 95_000 + 10 * i + k)}") for k, x in enumerate((a, b, c))]
+    for i in (205, 305, 405, 505):
+        rows.append((i, f"{prose(50, 96_000 + i)} {a} u{i} {b} v{i} w{i % 200} {c} {prose(50, 97_000 + i)}"))
+        want |= {i} - {205}
+    found = substrings.passages(frame(spark, [(i, t, None, None, None) for i, t in rows]))
+    got = {(x.doc_id, x.src_doc_id) for x in found.collect()}
+    assert {x for x, _ in got} == want and all(y % 10 == 5 for _, y in got)
+
+
+def test_places_of_a_seed_meet_across(spark):
+    """A document's second place of a line meets the third one of another document, where the passage is."""
+    line, more = prose(20, 9301), prose(40, 9302)
+    rows = [(1, f"{prose(60, 1)} {line} {prose(60, 2)} {line} {prose(60, 3)} {line} {more} {prose(60, 4)}"), (2, f"{prose(60, 5)} {line} {more} {prose(60, 6)} {line} {prose(60, 7)}")]
+    for limit in (2, 64):
+        got = substrings.passages(frame(spark, [(i, t, None, None, None) for i, t in rows]), all_pairs=limit).where("identity = 1").collect()
+        assert [(x.start_word, x.end_word, x.src_start) for x in got] == [(60, 120, 220)]
+
+
+def test_bound_of_reach_leaves_no_passage_out():
+    """Passages of all lengths and shares of equal words, with insertions and deletions, around any of their seeds."""
+    r, reach = random.Random(31), substrings.Reach(20, 0.8)
+    for k in range(300):
+        n = r.randint(20, 39)
+        one = [r.randrange(1, 256) for _ in range(n)]
+        two, equal = list(one), n
+        while True:
+            new = list(two)
+            at = r.randrange(len(new))
+            new[at : at + 1] = ([], [r.randrange(1, 256)], [new[at], r.randrange(1, 256)])[r.randrange(3)]
+            same = substrings.common_words(np.array(one), np.array(new))
+            if same < 0.8 * max(n, len(new)):
+                break
+            two, equal = new, same
+        x, y = ([r.randrange(1, 256) for _ in range(90)] for _ in range(2))
+        a, b = x + one + x, y + two + y
+        places = [(p, q) for p in range(90, 90 + n - 3) for q in range(90, 90 + len(two) - 3) if a[p : p + 4] == b[q : q + 4] and abs(p - q) <= reach.drift]
+        own = np.array([b[q - reach.left - reach.drift : q + reach.right + reach.drift] for _, q in places], np.uint8)
+        for (p, _), other in zip(places, own, strict=True):
+            word = np.array(a[p - reach.left : p + reach.right], np.uint8)
+            assert reach.may_share(word[None], other[None], reach.near(other[None]))[0, 0] and reach.may_share(word[None], other[None], None)[0, 0] and reach.in_order(word[None], other[None])[0]
+    w = np.array([r.randrange(1, 256) for _ in range(500)], np.uint8)
+    other = w[None, 200 : 200 + reach.width + 2 * reach.drift]
+    assert not reach.may_share(w[None, : reach.width], other, None).any() and not reach.in_order(w[None, : reach.width], other).any()
+
+
 # 9
 
 
