@@ -673,6 +673,47 @@ def test_bound_of_reach_leaves_no_passage_out():
     assert not reach.may_share(w[None, : reach.width], other, None).any() and not reach.in_order(w[None, : reach.width], other).any()
 
 
+def test_repeated_words_are_covered_by_few_alignments(monkeypatch):
+    """Texts of one word have a chain on each diagonal: those that cover nothing new aren't aligned, and all words are covered."""
+    calls, located = [], substrings.located
+    monkeypatch.setattr(substrings, "located", lambda *x: calls.append(1) or located(*x))
+    a, b = np.array([7] * 300 + list(range(1000, 1040))), np.array([9] * 50 + [7] * 120)
+    covered = np.zeros(len(a), bool)
+    found = substrings.uncovered(a, b, covered, 50, 0.8)
+    assert covered[:300].all() and not covered[310:].any() and len(calls) < 10
+    assert all(e - s >= 50 and substrings.common_words(a[s:e], b[x:y]) == n >= 0.8 * max(e - s, y - x) for s, e, x, y, n in found)
+    calls.clear()
+    assert substrings.uncovered(np.array([7] * 30 + [1] * 30), np.array([7] * 30 + [2] * 30), np.zeros(60, bool), 50, 0.8) == [] and not calls
+
+
+def test_places_out_of_reach_are_in_no_passage():
+    """Places that ``within_reach`` leaves out stand in no passage of two texts with a few words."""
+    r = np.random.default_rng(5)
+    left_out = 0
+    for k in range(60):
+        a, b = r.integers(0, 12, 26), r.integers(6, 18, 26)
+        n = int(r.integers(4, 14))
+        b[5 : 5 + n] = a[8 : 8 + n]
+        one, two = substrings.within_reach(a, b, 8, 0.75)
+        left_out += int((~one).sum())
+        for s in range(19):
+            for e in range(s + 8, min(27, s + 13)):
+                for x in range(0, 19, 2):
+                    y = min(26, x + e - s)
+                    if substrings.common_words(a[s:e], b[x:y]) >= 0.75 * max(e - s, y - x):
+                        assert one[s:e].sum() >= 0.75 * (e - s) and two[x:y].sum() >= 0.75 * (y - x)
+    assert left_out
+
+
+def test_pairs_of_a_bucket_are_joined_in_parts(spark, monkeypatch):
+    """The same passages whether a bucket's pairs of places are joined at once or a few at a time."""
+    line = prose(60, 9401)
+    rows = [(i, f"{prose(30, 9500 + i)} {line} {prose(30, 9600 + i)}", None, None, None) for i in range(6)]
+    whole = {tuple(x) for x in substrings.passages(frame(spark, rows)).collect()}
+    monkeypatch.setattr(substrings, "PAIRS_AT_ONCE", 4)
+    assert {tuple(x) for x in substrings.passages(frame(spark, rows)).collect()} == whole and len({x[0] for x in whole}) == 5
+
+
 # 9
 
 
