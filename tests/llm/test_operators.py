@@ -7,6 +7,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -834,3 +836,14 @@ def test_a_held_out_copy_stands_out(spark):
     model = lm.train(texts(frame(spark, [(i, t, None, None, None) for i, t in rows[:100]])))
     got = {r.doc_id: r.score / r.n_tokens for r in lm.score(frame(spark, [(i, t, None, None, None) for i, t in rows[90:]]), model).collect()}
     assert min(got[i] for i in range(90, 100)) > max(got[i] for i in range(100, 120)) + 1
+
+
+def test_matches_of_a_pair_lie_together_and_pack_well():
+    texts_ = [edited(prose(400, 50 + i // 12), 8, i) for i in range(240)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(240), pa.int64()), pa.array(texts_)], ["doc_id", "text"])
+    seeds = pa.Table.from_batches(substrings._seeder(2, 40, 40, 50)(iter([batch]))).sort_by("bucket")
+    found = pa.Table.from_batches(substrings._matcher(16, 40, 128)(iter(seeds.to_batches())))
+    found = found.filter(pc.greater_equal(found["part"], 0))
+    n = sum(len(substrings._from_planes(x, np.int32)) for x in found["places"].to_pylist())
+    size = sum(len(x) for k in found.column_names[1:] for x in found[k].to_pylist())
+    assert n > 300_000 and size < 0.6 * n  # 0.84 bytes a match when each source's place was told
