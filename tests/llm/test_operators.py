@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from rinkflow.llm import decontamination, langid, licenses, lm, minhash, packing, pq, resharding, substrings, toxicity
 from rinkflow.llm._util import texts
 from rinkflow.llm.graph import connected_components
+from rinkflow.shared import cut
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -847,3 +849,17 @@ def test_matches_of_a_pair_lie_together_and_pack_well():
     n = sum(len(substrings._from_planes(x, np.int32)) for x in found["places"].to_pylist())
     size = sum(len(x) for k in found.column_names[1:] for x in found[k].to_pylist())
     assert n > 300_000 and size < 0.6 * n  # 0.84 bytes a match when each source's place was told
+
+
+def test_shuffles_of_rows_that_were_cut_are_removed(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    old = shuffles()
+    got = cut(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count().repartition(3, "count"))
+    until = time.time() + 10
+    while shuffles() - old and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - old
+    assert sorted(r.k for r in got.collect()) == list(range(7)) and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
