@@ -54,3 +54,8 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 ])
 def test_views_reach_the_branches(con, condition):
     assert con.execute(oracle(condition)).fetchall()[0][0] > 0
+
+
+def test_match_images_moves_no_stones(spark, sf_dir):
+    plan = catalog.QUERIES["match_images"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(event_id") == 1  # of what the images show; stones lie by order
